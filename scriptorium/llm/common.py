@@ -59,11 +59,16 @@ def keep_rows(df: DataFrame, column: str, work: Callable[[list], tuple[list, lis
     return df.mapInArrow(run, df.schema)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names, which driver and executors share; a default where it is unset."""
+    return spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", "/tmp/checkpoints")
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable copy in the folder that spark.checkpoint.dir names."""
+    """Cut the lineage with a reliable copy in the shared folder."""
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", "/tmp/checkpoints"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from scriptorium.llm import bpe, decontaminate, secrets, simhash, toxicity
 from scriptorium.llm.common import table
 
@@ -11,5 +12,6 @@ QUERIES = {
     "op3_decontamination": lambda spark, d: decontaminate.digest(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op6_toxicity": lambda spark, d: toxicity.digest(table(spark, d, "documents"), table(spark, d, "labels")),
     "op7_simhash": lambda spark, d: simhash.digest(table(spark, d, "documents")),
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {}

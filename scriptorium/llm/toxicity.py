@@ -1,9 +1,10 @@
 """Toxic passages as maximum-scoring segments of token log-odds.
 
-Learning: of labelled documents, distinct texts only, each token's document counts in either class give a
-log-odds ratio with an informative Dirichlet prior (the token's overall share) and its z value. Tokens that are
-significantly toxic keep their log-odds, all tokens pay a small drift, so that a random text's expected score
-is negative. Scoring: one linear scan finds all maximal segments of a text (Ruzzo and Tompa). The best one's
+Learning: tokens are words and their beginnings of three to seven characters, which catch inflected and compound
+forms. Of labelled documents, distinct texts only, each token's document counts in either class give a log-odds
+ratio with an informative Dirichlet prior (the token's overall share) and its z value. Tokens that are
+significantly toxic keep their log-odds; a word scores as its best token; all words pay a small drift, so that
+a random text's expected score is negative. Scoring: one linear scan finds all maximal segments of a text (Ruzzo and Tompa). The best one's
 score is calibrated by the extreme-value law of such segments: the expected number of segments as good in a
 random text of that length is E = K n exp(-lambda S), with lambda from the token distribution of the other
 class and K from its texts. A logistic curve, fitted on the learning rows, turns log E and the share of
@@ -16,7 +17,6 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import repeat
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -25,8 +25,11 @@ from pyspark.sql import functions as F
 from scriptorium.llm.common import keep_rows, map_rows, only
 from scriptorium.llm.decontaminate import words_of
 
-#: At most so many labelled rows are learnt from (those of least hash), and at most so many tokens are kept.
-MOST_ROWS, MOST_TOKENS = 200_000, 50_000
+#: At most so many labelled rows are learnt from (those of least hash); at most so many tokens, those in most
+#: toxic documents, are weighed, and at most so many, of highest z, are kept.
+MOST_ROWS, MOST_WEIGHED, MOST_TOKENS = 200_000, 200_000, 50_000
+BEGINNINGS = range(3, 8)
+CACHED_WORDS = 400_000
 PRIOR, LEAST_Z, DRIFT, THRESHOLD, SIGNIFICANT = 2000.0, 4.0, 0.05, 0.7, 0.01
 
 
@@ -51,21 +54,51 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(s, e, float(a - b)) for s, e, b, a, _ in found]
 
 
+def tokens_of(words: list[bytes]) -> set[str]:
+    """The distinct tokens of a text's words: the words, and their beginnings with a tilde."""
+    own = {w.decode("utf-8", "replace") for w in set(words)}
+    return own | {w[:n] + "~" for w in own for n in BEGINNINGS if len(w) > n}
+
+
+class Scores(dict):
+    """Word to score, worked out once; of bounded size."""
+
+    def __init__(self, tokens: dict[str, float], drift: float):
+        super().__init__()
+        self.tokens, self.drift = tokens, drift
+
+    def __missing__(self, word: bytes) -> float:
+        if len(self) > CACHED_WORDS:
+            self.clear()
+        found = max((self.tokens.get(t, 0.0) for t in tokens_of([word])), default=0.0) - self.drift
+        self[word] = found
+        return found
+
+
 @dataclass
 class Model:
     """What is learnt: token scores, the extreme-value law, the logistic curve."""
 
-    tokens: dict[bytes, float] = field(default_factory=dict)
+    tokens: dict[str, float] = field(default_factory=dict)
     rate: float = 1.0
     log_k: float = 0.0
     curve: tuple[float, ...] = (-4.0, 0.0, 0.0)
     drift: float = DRIFT
 
+    def __post_init__(self):
+        self.scores = Scores(self.tokens, self.drift)
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "scores"}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self.__post_init__()
+
     def passages(self, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:
         """Number of words, and maximal segments of words with their scores."""
         words = words_of(text)
-        scores = np.fromiter(map(self.tokens.get, words, repeat(0.0)), np.float64, len(words)) - self.drift
-        return len(words), segments(scores)
+        return len(words), segments(np.fromiter(map(self.scores.__getitem__, words), np.float64, len(words)))
 
     def expected(self, n: int, score: float) -> float:
         """log10 of the expected number of segments this good in a random text of n words."""
@@ -94,7 +127,7 @@ def known_labels(docs: DataFrame, labels: DataFrame, allowed, id_col: str, text_
 
 
 def fit(docs: DataFrame, labels: DataFrame, allowed=lambda doc_id: F.lit(True), id_col: str = "doc_id", text_col: str = "text",
-        most_rows: int = MOST_ROWS, most_tokens: int = MOST_TOKENS) -> Model:
+        most_rows: int = MOST_ROWS, most_weighed: int = MOST_WEIGHED, most_tokens: int = MOST_TOKENS) -> Model:
     """Learn from the labelled rows whose id satisfies `allowed` (a column condition).
 
     Null ids, labels and texts teach nothing; of repeated ids the higher label holds; with one class only, or
@@ -109,22 +142,35 @@ def fit(docs: DataFrame, labels: DataFrame, allowed=lambda doc_id: F.lit(True),
     if not n1 or not n0:
         return Model()
 
-    def count(rows):
-        both: tuple[Counter, Counter] = Counter(), Counter()
+    def toxic(rows):
+        seen: Counter = Counter()
         for row in rows:
-            if (label := sent.value.get(row["id"])) is not None:
-                both[label].update(set(words_of(row["text"])))
-        for word in both[0].keys() | both[1].keys():
-            yield {"word": word, "c1": both[1][word], "c0": both[0][word]}
+            if sent.value.get(row["id"]):
+                seen.update(tokens_of(words_of(row["text"])))
+        for token, n in seen.items():
+            yield {"token": token, "c": n}
+
+    weighed = map_rows(given, "token string, c bigint", toxic).groupBy("token").agg(F.sum("c").alias("c1")).where("c1 >= 3")
+    weighed = weighed.orderBy(F.desc("c1"), "token").limit(most_weighed)
+    watched = spark.sparkContext.broadcast(frozenset(r[0] for r in weighed.select("token").toLocalIterator()))
+
+    def clean(rows):
+        seen: Counter = Counter()
+        for row in rows:
+            if sent.value.get(row["id"]) == 0:
+                seen.update(tokens_of(words_of(row["text"])) & watched.value)
+        for token, n in seen.items():
+            yield {"token": token, "c": n}
 
-    counts = map_rows(given, "word binary, c1 bigint, c0 bigint", count).groupBy("word").agg(F.sum("c1").alias("c1"), F.sum("c0").alias("c0"))
+    others = map_rows(given, "token string, c bigint", clean).groupBy("token").agg(F.sum("c").alias("c0"))
+    counts = weighed.join(others, "token", "left").select("token", "c1", F.coalesce("c0", F.lit(0)).alias("c0"))
     prior = PRIOR * (F.col("c1") + F.col("c0")) / F.lit(n1 + n0) / 10
     a1, a0 = F.col("c1") + prior + 0.01, F.col("c0") + prior + 0.01
     mass = PRIOR / 10 + 0.01
     odds = F.log(a1 / (n1 + mass - a1 + 1)) - F.log(a0 / (n0 + mass - a0 + 1))
-    scored = counts.where("c1 >= 3").select("word", "c0", odds.alias("odds"), (odds / F.sqrt(1 / a1 + 1 / a0)).alias("z"))
-    best = scored.where(f"z >= {LEAST_Z}").orderBy(F.desc("z"), "word").limit(most_tokens).collect()
-    model = Model({bytes(r["word"]): float(r["odds"]) for r in best})
+    scored = counts.select("token", "c0", odds.alias("odds"), (odds / F.sqrt(1 / a1 + 1 / a0)).alias("z"))
+    best = scored.where(f"z >= {LEAST_Z}").orderBy(F.desc("z"), "token").limit(most_tokens).collect()
+    model = Model({r["token"]: float(r["odds"]) for r in best})
 
     def measure(rows):
         for row in rows:
@@ -134,11 +180,11 @@ def fit(docs: DataFrame, labels: DataFrame, allowed=lambda doc_id: F.lit(True),
                 yield {"label": label, "n": n, "best": logs[0] if logs else 0.0, "positive": float(sum(logs)), "scores": logs[:64]}
 
     seen = map_rows(given, "label int, n bigint, best double, positive double, scores array<double>", measure).toPandas()
-    clean = seen[seen.label == 0]
-    words = max(1.0, float(clean.n.sum()))
+    rest = seen[seen.label == 0]
+    words = max(1.0, float(rest.n.sum()))
     share = {w: r["c0"] / words for w, r in zip(model.tokens, best, strict=True)}
     model.rate = _rate([(model.tokens[w] - DRIFT, p) for w, p in share.items() if p], 1 - sum(share.values()))
-    held = clean[clean.best > 0]
+    held = rest[rest.best > 0]
     if len(held):
         model.log_k = float(np.median(model.rate * held.best - np.log(np.maximum(held.n, 1)))) - 0.3665
     x = np.array([_features(model, n, list(s)) for n, s in zip(seen.n, seen.scores, strict=True)]).reshape(-1, 2)
