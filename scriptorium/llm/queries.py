@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from scriptorium.llm import bpe, decontaminate, secrets, simhash, toxicity
+from scriptorium.llm import bpe, chat, decontaminate, pii, secrets, simhash, toxicity
 from scriptorium.llm.common import table
 
 QUERIES = {
     "op1_bpe": lambda spark, d: bpe.digest(table(spark, d, "documents")),
     "op2_secrets": lambda spark, d: secrets.digest(table(spark, d, "documents")),
     "op3_decontamination": lambda spark, d: decontaminate.digest(table(spark, d, "documents"), table(spark, d, "benchmark")),
+    "op5_chat": lambda spark, d: chat.digest(chat.with_test_conversation(spark, table(spark, d, "conversations"))),
     "op6_toxicity": lambda spark, d: toxicity.digest(table(spark, d, "documents"), table(spark, d, "labels")),
     "op7_simhash": lambda spark, d: simhash.digest(table(spark, d, "documents")),
+    "op10_pii": lambda spark, d: pii.digest(table(spark, d, "documents")),
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {}
