@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from scriptorium.llm import bpe, chat, decontaminate, pii, secrets, simhash, toxicity
+from scriptorium.llm import bpe, chat, decontaminate, embeddings, licenses, pii, secrets, simhash, toxicity
 from scriptorium.llm.common import table
 
 QUERIES = {
@@ -13,6 +13,8 @@ QUERIES = {
     "op5_chat": lambda spark, d: chat.digest(chat.with_test_conversation(spark, table(spark, d, "conversations"))),
     "op6_toxicity": lambda spark, d: toxicity.digest(table(spark, d, "documents"), table(spark, d, "labels")),
     "op7_simhash": lambda spark, d: simhash.digest(table(spark, d, "documents")),
+    "op8_embeddings": lambda spark, d: embeddings.near_copies(table(spark, d, "embeddings")),
+    "op9_licenses": lambda spark, d: licenses.digest(table(spark, d, "documents")),
     "op10_pii": lambda spark, d: pii.digest(table(spark, d, "documents")),
     "pipeline": corpus_pipeline.run,
 }
