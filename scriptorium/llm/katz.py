@@ -1,7 +1,7 @@
 """Language-model scoring with Katz backoff over word bigrams.
 
 Tokens are lower-cased words and one end per text; they are known by 64-bit hashes. Counting: tasks add up the
-tokens, then the bigrams, of about two million tokens in sorted arrays, cut them by hash range, and send one
+tokens, then the bigrams, of about a million tokens in sorted arrays, cut them by hash range, and send one
 block per range; bigrams are grouped by context, and frequent following words take two bytes. So what is
 shuffled grows with the corpus, and no key gathers rows in one place: bigrams of frequent contexts are dealt by
 both words. Bigrams seen once count as unseen, a usual cut-off of such models.
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from scriptorium.llm.common import only, release, shared_folder, small_batches
 
 K, SEEN = 5, 2
-CHUNK_TOKENS, HEAD_WORDS, HOT_CONTEXTS, MOST_HEAD, BLOOM_BYTES = 2_000_000, 1 << 16, 1 << 10, 600_000, 24 << 20
+CHUNK_TOKENS, HEAD_WORDS, HOT_CONTEXTS, MOST_HEAD, BLOOM_BYTES = 1_000_000, 1 << 16, 1 << 10, 600_000, 24 << 20
 U = np.uint64
 NONE = np.zeros(0, U)
 
