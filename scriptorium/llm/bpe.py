@@ -1,7 +1,7 @@
 """Byte-pair encoding and decoding with a public tokenizer file.
 
-White space splits a text before any merge, so the words of a text are encoded one by one and remembered, in
-a cache of bounded size. A word that the tokenizer doesn't split further and that is longer than LEAF symbols
+White space splits a text before any merge, so the words of a text are encoded on their own and remembered, in
+two generations of bounded size: when the younger is full it becomes the older, so that frequent words stay. A word that the tokenizer doesn't split further and that is longer than LEAF symbols
 is encoded as a tree: its halves on their own, in one parallel batch of leaves, then joined. At a join, a
 window of tokens around it is encoded anew and doubled until its outermost tokens on both sides are those that
 the halves had. Each adjacent pair of tokens then occurs in some true encoding, which makes the whole the true
@@ -14,6 +14,7 @@ import json
 import os
 import re
 import struct
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,11 +23,25 @@ from pyspark.sql import types as T
 from scriptorium.llm.common import map_rows, only, small_batches
 
 LEAF = 2048
+#: Words remembered in each of two generations, and the longest of them.
 CACHED_WORDS = 200_000
 CACHED_LENGTH = 64
+#: Characters of texts looked up together, and new words given to the library together.
+GROUP = 1_000_000
+JOINED = 1000
 SPACES = str.maketrans("\t\n\r\x0b\x0c", "     ")
 
 
+NO_SPACES = "\x1c\x1d\x1e\x1f"  # that str.split() takes for spaces, but the tokenizer doesn't
+
+
+def words_in(text: str | None) -> list[str]:
+    """The parts of a text between white space."""
+    if any(map((text or "").__contains__, NO_SPACES)):
+        return [w for w in text.translate(SPACES).split(" ") if w]
+    return (text or "").split()
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     """Where the public tokenizer file lies on this machine."""
     import public_tokenizers
@@ -48,7 +63,10 @@ class Codec:
         self.special = {t.content: i for i, t in self.whole.get_added_tokens_decoder().items()}
         self.marks = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
         self.tokens = {i: t for t, i in self.whole.get_vocab(with_added_tokens=True).items()}
+        plain = [t for t in self.whole.get_added_tokens_decoder().values() if t.special and not (t.normalized or t.lstrip or t.rstrip or t.single_word)]
+        self.cut = plain[0].content if plain else None
         self.words: dict[str, tuple[bytes, str]] = {}
+        self.older: dict[str, tuple[bytes, str]] = {}
         self._inner = self._last = None
 
     # Parts of a long word: those that don't reach its end have no end mark.
@@ -112,23 +130,72 @@ class Codec:
                 at = m.end()
         return ids
 
-    def encode(self, text: str | None) -> tuple[list[bytes], list[str]]:
-        """For each word its ids, as little-endian unsigned 32-bit integers, and its decoded form."""
-        words = [w for w in (text or "").translate(SPACES).split(" ") if w]
-        known = self.words
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        if len(known) + len(new) > CACHED_WORDS:
-            known.clear()
-            new = list(dict.fromkeys(words))
-        own = {}
-        short = [w for w in new if len(w) <= self.leaf]
-        for w, e in zip(short, self.whole.encode_batch_fast(short, add_special_tokens=False), strict=True):
-            (known if len(w) <= CACHED_LENGTH else own)[w] = self.packed(e.ids)
-        for w in new:
+    def encode(self, text: str | None) -> tuple[bytes, str]:
+        """The text's ids, as little-endian unsigned 32-bit integers, and its decoded form."""
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: Iterable[str | None], decoded: bool = True) -> Iterator[tuple[bytes, str]]:
+        """For each text its ids and, unless not asked for, its decoded form.
+
+        Each distinct word of a group of texts is looked up once; a group ends at GROUP characters.
+        """
+        group: list[list[str]] = []
+        size = 0
+        for text in texts:
+            group.append(words_in(text))
+            size += len(text or "")
+            if size >= GROUP:
+                yield from self._group(group, decoded)
+                group, size = [], 0
+        yield from self._group(group, decoded)
+
+    def _group(self, group: list[list[str]], decoded: bool) -> Iterator[tuple[bytes, str]]:
+        ids, forms = self._lookup(set().union(*group))
+        for words in group:
+            yield b"".join(map(ids.__getitem__, words)), " ".join(filter(None, map(forms.__getitem__, words))) if decoded else ""
+
+    def _lookup(self, words: set[str]) -> tuple[dict[str, bytes], dict[str, str]]:
+        """Ids and decoded forms of distinct words, from two generations of remembered words or encoded now."""
+        ids, forms, new = {}, {}, []
+        for w in words:
+            found = self.words.get(w)
+            if found is None:
+                found = self.older.get(w)
+                if found is None:
+                    new.append(w)
+                    continue
+                self.words[w] = found
+            ids[w], forms[w] = found
+        for w, found in self._encoded(new):
+            ids[w], forms[w] = found
+            if len(w) <= CACHED_LENGTH:
+                if len(self.words) >= CACHED_WORDS:
+                    self.older, self.words = self.words, {}
+                self.words[w] = found
+        return ids, forms
+
+    def _encoded(self, words: list[str]) -> Iterator[tuple[str, tuple[bytes, str]]]:
+        """New words with their ids and decoded forms; those of ordinary length go to the library many at once."""
+        plain = []
+        for w in words:
             if len(w) > self.leaf:
-                own[w] = self.packed(self.long_word(w))
-        found = [known.get(w) or own[w] for w in words]
-        return [f[0] for f in found if f[0]], [f[1] for f in found if f[0]]
+                yield w, self.packed(self.long_word(w))
+            elif self.cut is None or self.marks.search(w):
+                yield w, self.packed(self.whole.encode(w, add_special_tokens=False).ids)
+            else:
+                plain.append(w)
+        for at in range(0, len(plain), JOINED):
+            some = plain[at : at + JOINED]
+            # The special token between two words is cut out before anything else is done to them.
+            got = self.whole.encode_batch_fast([self.cut.join(some)], add_special_tokens=False)[0].ids
+            got.append(mark := self.special[self.cut])
+            raw = struct.pack(f"<{len(got)}I", *got)
+            forms = list(map(self.tokens.__getitem__, got)) if self.whole.decoder is None else None
+            start = 0
+            for w in some:
+                end = got.index(mark, start)
+                yield w, (raw[4 * start : 4 * end], " ".join(forms[start:end]) if forms else self.decode(got[start:end]))
+                start = end + 1
 
     def packed(self, ids: list[int]) -> tuple[bytes, str]:
         return struct.pack(f"<{len(ids)}I", *ids), self.decode(ids)
@@ -159,9 +226,8 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name
 
     def work(rows):
         own = codec(name, leaf)
-        for row in rows:
-            ids, decoded = own.encode(row["text"])
-            yield {"doc_id": row["doc_id"], "ids": b"".join(ids), "decoded": " ".join(decoded)}
+        for row, (ids, decoded) in zip(rows, own.encode_all(r["text"] for r in rows), strict=True):
+            yield {"doc_id": row["doc_id"], "ids": ids, "decoded": decoded}
 
     kind = docs.schema[id_col].dataType.simpleString()
     return map_rows(only(docs, doc_id=id_col, text=text_col), f"doc_id {kind}, ids binary, decoded string", work)
@@ -180,7 +246,8 @@ def with_ids(docs: DataFrame, text_col: str = "text", name: str = "word_bpe_49k.
     def run(batches):
         own = codec(name)
         for batch in batches:
-            ids = [b"".join(own.encode(t)[0]) for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
+            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
+            ids = [i for i, _ in own.encode_all(texts, decoded=False)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], names=[*batch.schema.names, out])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, T.BinaryType())]))

@@ -39,6 +39,19 @@ def test_bpe_equals_the_library(docs, library):
         assert r["decoded_sha256"] == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
+def test_bpe_words_split_as_the_library_splits_them(library, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED_WORDS", 4)
+    monkeypatch.setattr(bpe, "GROUP", 20)
+    own = bpe.Codec(bpe.tokenizer_path())
+    spaces = [chr(i) for i in range(0x3001) if chr(i).isspace()]
+    texts = [f"Ab{c}cd{c}{c}don't{c}x<|endoftext|>y <|endoftext|>{c}1\u0301 e\u0301{c}<|ENDOFTEXT|>" for c in spaces]
+    texts += ["", None, "   ", "\x1c", "a\x1fb\u2003c", "same words " * 50, "same words"]
+    for text, (ids, decoded) in zip(texts, own.encode_all(texts), strict=True):
+        want = library.encode(text or "", add_special_tokens=False).ids
+        assert list(memoryview(ids).cast("I")) == want
+        assert decoded == library.decode(want, skip_special_tokens=False)
+
+
 def test_bpe_trees_equal_whole_words(library):
     rng = random.Random(3)
     own = bpe.Codec(bpe.tokenizer_path(), leaf=8)
@@ -274,4 +287,4 @@ def test_pipeline_keeps_columns(spark):
     assert set(out.index) == kept
     i = next(iter(kept))
     covered = secrets.cover(rows[i], next(iter(secrets.scanner().find([rows[i]]))))
-    assert out.loc[i, "text"] == covered and bytes(out.loc[i, "token_ids"]) == b"".join(bpe.codec("word_bpe_49k.json").encode(covered)[0])
+    assert out.loc[i, "text"] == covered and bytes(out.loc[i, "token_ids"]) == bpe.codec("word_bpe_49k.json").encode(covered)[0]
