@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 import re
 from typing import Protocol
@@ -48,6 +49,35 @@ class Extractive:
         return " ".join(words[:max_tokens])
 
 
+class ResearchModel(Protocol):
+    """What a session turn asks of a language model; claims and followups reply in JSON."""
+
+    def summarize(self, question: str, prompt: str) -> str: ...
+
+    def synthesize(self, question: str, summaries: list[str]) -> str: ...
+
+    def claims(self, prompt: str, summary: str) -> str: ...
+
+    def followups(self, prompt: str, synthesis: str) -> str: ...
+
+
+class ExtractiveResearch:
+    """Sentences of the passages in place of a language model."""
+
+    def summarize(self, question: str, prompt: str) -> str:
+        return Extractive().generate(prompt.split("Chunk text:\n", 1)[-1])
+
+    def synthesize(self, question: str, summaries: list[str]) -> str:
+        return " ".join(summaries)
+
+    def claims(self, prompt: str, summary: str) -> str:
+        return json.dumps({"claims_added": [{"text": summary, "status": "supported", "confidence": "medium"}]})
+
+    def followups(self, prompt: str, synthesis: str) -> str:
+        terms = query_terms(synthesis)[:2]
+        return json.dumps({"followups_added": [{"text": f"What else is known of {t}?"} for t in terms]})
+
+
 def rewrites(query: str, n: int = 2) -> list[str]:
     """n rewordings: the query's terms, then rotations of them; an error if there are no terms."""
     terms = query_terms(query)

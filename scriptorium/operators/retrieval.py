@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from scriptorium.operators import filters, fusion, models, search
 
-MODES = ("full", "hybrid", "fts", "vector")
+#: Searches of the question itself that each mode makes; full adds rewordings and a hypothetical answer.
+SEARCHES = {"full": ("hybrid", "fts"), "fts_hybrid": ("hybrid", "fts"), "hybrid_only": ("hybrid",), "fts_only": ("fts",), "vector_only": ("vector",)}
+SHORT = {"hybrid": "hybrid_only", "fts": "fts_only", "vector": "vector_only"}
+MODES = (*SEARCHES, *SHORT)
 
 
 @dataclass(frozen=True)
@@ -32,9 +35,10 @@ def variants(request: QueryRequest) -> list[tuple[str, str, str]]:
     """(key, kind, text) of each search that the mode asks for."""
     if request.mode not in MODES:
         raise ValueError(f"unknown mode: {request.mode}")
-    if request.mode != "full":
-        return [(f"original_{request.mode}", request.mode, request.query)]
-    out = [("original_hybrid", "hybrid", request.query), ("original_fts", "fts", request.query)]
+    mode = SHORT.get(request.mode, request.mode)
+    out = [(f"original_{kind}", kind, request.query) for kind in SEARCHES[mode]]
+    if mode != "full":
+        return out
     out += [(f"rewrite_{i}_vector", "vector", t) for i, t in enumerate(models.rewrites(request.query, request.rewrite_count), 1)]
     return out + ([("hyde_vector", "vector", models.hypothetical_answer(request.query))] if request.hyde else [])
 

@@ -33,11 +33,13 @@ def exact_dedupe(new: DataFrame, existing: DataFrame | None = None) -> DataFrame
 def semantic_dedupe(claims: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """Claims (session_id, seq, vector) that are kept in order: none is as near as `threshold` to one kept before.
 
+    Rows with a true column accepted, if there is one, are kept in any case.
     Greedy and dependent on order, so a fold over each session's claims, which the reference's sessions bound.
     """
-    rows = F.array_sort(F.collect_list(F.struct("seq", "vector")))
+    accepted = F.coalesce(F.col("accepted"), F.lit(False)) if "accepted" in claims.columns else F.lit(False)
+    rows = F.array_sort(F.collect_list(F.struct("seq", "vector", accepted.alias("accepted"))))
     fold = F.aggregate("rows", F.array().cast("array<struct<seq:bigint,vector:array<double>>>"), lambda kept, x: F.when(
-        F.exists(kept, lambda k: V.cosine(k["vector"], x["vector"]) >= threshold), kept).otherwise(
+        ~x["accepted"] & F.exists(kept, lambda k: V.cosine(k["vector"], x["vector"]) >= threshold), kept).otherwise(
         F.concat(kept, F.array(F.struct(x["seq"].cast("long").alias("seq"), x["vector"].cast("array<double>").alias("vector"))))))
     return claims.groupBy("session_id").agg(rows.alias("rows")).select("session_id", F.explode(fold).alias("k")).select("session_id", "k.seq")
 
@@ -100,13 +102,15 @@ def snapshot(**tables: DataFrame) -> dict[str, int]:
 
 
 def contextualize(question: str, mode: str, focus: str | None, claims: list[str]) -> str:
-    """The request with focus and findings in the modes deepen and expand; unchanged in others."""
-    if mode not in ("deepen", "expand"):
+    """The request with focus and findings in the modes deepen and expand; unchanged in others, or without both."""
+    question = question.strip()
+    parts = ["Current research focus:\n" + focus.strip()] if focus and focus.strip() else []
+    found = [f"- {c}" for c in claims[:CONTEXT_CLAIMS] if c.strip()]
+    if found:
+        parts.append("\n".join(["Prior findings:", *found]))
+    if mode not in ("deepen", "expand") or not parts:
         return question
-    parts = [f"Current research focus:\n{focus}"] if focus else []
-    if claims:
-        parts.append("Prior findings:\n" + "\n".join(f"- {c}" for c in claims[:CONTEXT_CLAIMS]))
-    return "\n\n".join([*parts, f"New request:\n{question}"])
+    return "\n\n".join([*parts, "New request:", question])
 
 
 def pool(mode: str, final_top_k: int, depth: int, given: int | None = None) -> tuple[int | None, bool, bool]:
