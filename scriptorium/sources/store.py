@@ -97,10 +97,12 @@ def read_classified(spark: SparkSession, path: str) -> DataFrame:
     """Rows of chunks from classified JSON; flags that are missing are false; no headings is an error."""
     schema = "source_markdown string, headings array<struct<title:string,heading_level:int,section_pos:int,chunks:array<struct<chunk_index:int,text:string,word_count:int,classification:struct<label:string,source:string,reason:string,confidence:string,used_context:boolean,needs_llm:boolean>>>>>"
     raw = spark.read.schema(schema).option("multiLine", True).json(path)
+    name = F.regexp_replace(F.regexp_extract("_metadata.file_path", r"([^/]+?)(?:\.[^./]*)?$", 1), "_classified_chunks$", "")
+    raw = raw.select(name.alias("paper_id"), *raw.columns)
     headings = F.when(F.col("headings").isNull(), F.raise_error(F.lit("headings must be a list")).cast(raw.schema["headings"].dataType)).otherwise(F.col("headings"))
-    rows = raw.select("source_markdown", F.posexplode(headings).alias("pos", "h")).select("source_markdown", "pos", "h.title", "h.heading_level", F.explode("h.chunks").alias("c"))
-    return rows.select("source_markdown", F.col("pos").alias("section_pos"), "title", "heading_level", "c.chunk_index", "c.text", "c.word_count", "c.classification.label", "c.classification.source",
-                       "c.classification.confidence", F.coalesce("c.classification.used_context", F.lit(False)).alias("used_context"), F.coalesce("c.classification.needs_llm", F.lit(False)).alias("needs_llm"))
+    rows = raw.select("paper_id", "source_markdown", F.posexplode(headings).alias("pos", "h")).select("paper_id", "source_markdown", "pos", "h.title", "h.heading_level", F.explode("h.chunks").alias("c"))
+    return rows.select("paper_id", "source_markdown", F.col("pos").alias("section_pos"), "title", "heading_level", "c.chunk_index", "c.text", "c.word_count", "c.classification.label", "c.classification.source",
+                       "c.classification.confidence", "c.classification.reason", F.coalesce("c.classification.used_context", F.lit(False)).alias("used_context"), F.coalesce("c.classification.needs_llm", F.lit(False)).alias("needs_llm"))
 
 
 def query_artifact(ranked: DataFrame, header: dict[str, str]) -> DataFrame:
