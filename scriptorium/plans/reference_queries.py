@@ -232,14 +232,21 @@ TITLES = ["Introduction", "**Methods**", "B1", "1 Results", "Results", "A2.1", "
 FAMILY_SQL = "CASE " + " ".join(f"WHEN k IN ({', '.join(repr(t) for t in ts)}) THEN '{f}'" for f, ts in C.TITLE_FAMILIES.items()) + " END"
 
 
-@query("label_carry_forward", f"""WITH s AS (SELECT conv_id, turn, lower(replace([{', '.join(repr(t) for t in TITLES)}][((conv_id + turn) % {len(TITLES)}) + 1], '*', '')) AS k FROM conversations),
+LABELS_SQL = f"""WITH s AS (SELECT conv_id, turn, lower(replace([{', '.join(repr(t) for t in TITLES)}][((conv_id + turn) % {len(TITLES)}) + 1], '*', '')) AS k FROM conversations),
 o AS (SELECT conv_id, turn, k, {FAMILY_SQL} AS own, regexp_matches(k, '^[abc]\\d(\\.\\d+)?$') AS cefr FROM s)
-SELECT conv_id::VARCHAR AS paper_id, turn AS section_pos, CASE WHEN own IS NOT NULL THEN own WHEN cefr THEN last_value(own IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) END AS label FROM o""")
-def label_carry_forward(spark, d):
+SELECT conv_id::VARCHAR AS paper_id, turn AS section_pos, CASE WHEN own IS NOT NULL THEN own WHEN cefr THEN last_value(own IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) END AS label FROM o"""
+
+
+def labelled_sections(spark, d):
+    """Turns of conversations as sections with titles of every kind."""
     titles = F.array(*[F.lit(t) for t in TITLES])
-    sections = table(spark, d, "conversations").select(F.col("conv_id").cast("string").alias("paper_id"), F.col("turn").cast("int").alias("section_pos"),
-                                                       F.element_at(titles, ((F.col("conv_id") + F.col("turn")) % len(TITLES) + 1).cast("int")).alias("title"), F.lit(1).alias("heading_level"), F.lit(1).alias("n_chunks"))
-    return labels.label_sections(sections).select("paper_id", F.col("section_pos").cast("long").alias("section_pos"), "label")
+    return table(spark, d, "conversations").select(F.col("conv_id").cast("string").alias("paper_id"), F.col("turn").cast("int").alias("section_pos"),
+                                                   F.element_at(titles, ((F.col("conv_id") + F.col("turn")) % len(TITLES) + 1).cast("int")).alias("title"), F.lit(1).alias("heading_level"), F.lit(1).alias("n_chunks"))
+
+
+@query("label_carry_forward", LABELS_SQL)
+def label_carry_forward(spark, d):
+    return labels.label_sections(labelled_sections(spark, d)).select("paper_id", F.col("section_pos").cast("long").alias("section_pos"), "label")
 
 
 @query("article_quintile", """SELECT conv_id, turn, CASE WHEN part < 0.2 THEN 'first 20%' WHEN part < 0.4 THEN 'second 20%' WHEN part < 0.6 THEN 'third 20%' WHEN part < 0.8 THEN 'fourth 20%' ELSE 'last 20%' END AS quintile
@@ -297,7 +304,10 @@ def claim_exact_dedupe(spark, d):
     return sessions.exact_dedupe(table(spark, d, "documents").select(F.col("doc_id").alias("seq"), "text")).select("seq")
 
 
-@query("claim_semantic_dedupe")
+@query("claim_semantic_dedupe", """WITH RECURSIVE n AS (SELECT label, vec_id, embedding::DOUBLE[] AS v, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS i FROM embeddings),
+r AS (SELECT label, i, [{'seq': vec_id, 'v': v}] AS kept FROM n WHERE i = 1 UNION ALL
+SELECT n.label, n.i, CASE WHEN len(list_filter(kept, lambda k: list_cosine_similarity(k.v, n.v) >= 0.85)) > 0 THEN kept ELSE list_append(kept, {'seq': n.vec_id, 'v': n.v}) END FROM r JOIN n ON n.label IS NOT DISTINCT FROM r.label AND n.i = r.i + 1)
+SELECT label AS session_id, unnest(list_transform(arg_max(kept, i), lambda k: k.seq)) AS seq FROM r GROUP BY label""")
 def claim_semantic_dedupe(spark, d):
     claims = table(spark, d, "embeddings").select(F.col("label").alias("session_id"), F.col("vec_id").alias("seq"), F.col("embedding").alias("vector"))
     return sessions.semantic_dedupe(claims)
