@@ -9,6 +9,10 @@ from pyspark.sql import Window as W
 from scriptorium.functions.text import citation_label
 
 
+#: Sums of reciprocal ranks are rounded, so that ties don't hang on the order of addition.
+PLACES = 12
+
+
 def fuse(hits: DataFrame, final_top_k: int, rrf_k: int = 60, min_lists: int = 1) -> DataFrame:
     """One row per chunk of the union of lists: score, lists, kinds, ranks and best scores.
 
@@ -21,7 +25,7 @@ def fuse(hits: DataFrame, final_top_k: int, rrf_k: int = 60, min_lists: int = 1)
         hits = hits.withColumn("hit_seq", F.struct("retrieval_key", "rank"))
     entry = F.array_sort(F.collect_list(F.struct("hit_seq", "retrieval_kind", "retrieval_key", "rank")))
     out = hits.groupBy("chunk_id").agg(
-        F.sum(1.0 / (rrf_k + F.col("rank"))).alias("rrf_score"), F.sort_array(F.collect_set("retrieval_key")).alias("retrieval_keys"), entry.alias("e"),
+        F.round(F.sum(1.0 / (rrf_k + F.col("rank"))), PLACES).alias("rrf_score"), F.sort_array(F.collect_set("retrieval_key")).alias("retrieval_keys"), entry.alias("e"),
         F.max("relevance_score").alias("best_relevance"), F.min("distance").alias("best_distance"), F.max("fts_score").alias("best_fts"))
     out = out.where(F.size("retrieval_keys") >= min_lists)
     last = F.aggregate("e", F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<int>")), lambda m, x: F.map_concat(

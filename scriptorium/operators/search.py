@@ -77,7 +77,7 @@ def hybrid_topk(chunks: DataFrame, query: str, vector: list[float], k: int) -> D
     near = ranked(vector_topk(chunks, vector, k), "distance", "chunk_id").select("chunk_id", F.lit(0).alias("list"), "rank", "distance", F.lit(None).cast("double").alias("fts_score"))
     text = ranked(fts_topk(chunks, query, k), F.desc("fts_score"), "chunk_id").select("chunk_id", F.lit(1).alias("list"), "rank", F.lit(None).cast("double").alias("distance"), "fts_score")
     fused = near.unionByName(text).groupBy("chunk_id").agg(
-        F.sum(1.0 / (RRF_K + F.col("rank"))).alias("relevance_score"), F.max("distance").alias("distance"), F.max("fts_score").alias("fts_score"),
+        F.round(F.sum(1.0 / (RRF_K + F.col("rank"))), 12).alias("relevance_score"), F.max("distance").alias("distance"), F.max("fts_score").alias("fts_score"),
         F.min("list").alias("list"), F.min("rank").alias("rank"))
     best = fused.orderBy(F.desc("relevance_score"), "list", "rank", "chunk_id").limit(k)
     return ranked(best, F.desc("relevance_score"), "list", "rank", "chunk_id").drop("list")

@@ -126,12 +126,40 @@ def summary_batches(spark, d):
     return out.select("chunk_id", (F.col("position") - 1).cast("long").alias("place"), F.col("batch_index").cast("long").alias("batch_index"))
 
 
-@query("query_full")
+ASKED = "the thing and other eat"
+
+
+def asked_vector(text: str) -> str:
+    """A query's hash embedding as a literal, read from a string so that no digit is lost."""
+    return f"'{models.HashEmbedder(64).embed([text])[0]}'::DOUBLE[]"
+
+
+def near_sql(name: str, text: str) -> str:
+    """The ten nearest items; distances summed in the order of places."""
+    return f"""{name} AS (SELECT chunk_id, row_number() OVER (ORDER BY list_reduce(list_transform(list_zip(v, {asked_vector(text)}), lambda p: (p[1] - p[2]) * (p[1] - p[2])), lambda a, b: a + b), chunk_id) AS r FROM e QUALIFY r <= 10)"""
+
+
+FULL_VARIANTS = {key: (kind, text) for key, kind, text in retrieval.variants(retrieval.QueryRequest(ASKED))}
+FULL_SQL = f"""WITH c AS (SELECT item_id::VARCHAR AS chunk_id, item_id AS chunk_index, text FROM benchmark), {bm25_sql('c', search.query_terms(ASKED))},
+t AS (SELECT chunk_id, sha256(unnest(regexp_extract_all(lower(text), '\\S+'))) AS h FROM c),
+b AS (SELECT chunk_id, ('0x' || h[1:16])::UBIGINT % 64 AS k, sum(CASE WHEN ('0x' || h[17:18])::UBIGINT % 2 = 0 THEN 1 ELSE -1 END)::DOUBLE AS x FROM t GROUP BY ALL),
+w AS (SELECT c.chunk_id, list_transform(range(64), lambda i: coalesce(m[i], 0)) AS v, coalesce(n, 0) AS n FROM c LEFT JOIN (SELECT chunk_id, map(list(k::BIGINT), list(x)) AS m, sqrt(sum(x * x)) AS n FROM b GROUP BY chunk_id) USING (chunk_id)),
+e AS (SELECT chunk_id, list_transform(v, lambda x: CASE WHEN n = 0 THEN x ELSE x / n END) AS v FROM w), {', '.join(near_sql(f'near_{key}', text) for key, (kind, text) in FULL_VARIANTS.items() if kind != 'fts')},
+f AS (SELECT chunk_id, row_number() OVER (ORDER BY fts_score DESC, chunk_id) AS r FROM fts QUALIFY r <= 10),
+u AS (SELECT chunk_id, 0 AS l, r FROM near_original_hybrid UNION ALL SELECT chunk_id, 1, r FROM f),
+g AS (SELECT chunk_id, round(sum(1.0::DOUBLE / (60 + r)), 12) AS score, min(l) AS l, min(r) AS m FROM u GROUP BY chunk_id),
+hy AS (SELECT chunk_id, row_number() OVER (ORDER BY score DESC, l, m, chunk_id) AS r FROM g QUALIFY r <= 10),
+hits AS (SELECT chunk_id, 'original_hybrid' AS k, r FROM hy UNION ALL SELECT chunk_id, 'original_fts', r FROM f UNION ALL {' UNION ALL '.join(f"SELECT chunk_id, '{key}', r FROM near_{key}" for key, (kind, _) in FULL_VARIANTS.items() if kind == 'vector')}),
+s AS (SELECT chunk_id, round(sum(1.0::DOUBLE / (60 + r)), 12) AS score, string_agg(DISTINCT k, ',' ORDER BY k) AS retrieval_keys FROM hits GROUP BY chunk_id)
+SELECT chunk_id, round(score, 9) AS rrf_score, retrieval_keys, row_number() OVER (ORDER BY score DESC, chunk_index) AS position, (position - 1) // 5 AS batch_index FROM s JOIN c USING (chunk_id) QUALIFY position <= 15"""
+
+
+@query("query_full", FULL_SQL)
 def query_full(spark, d):
     """The whole query over hash-embedded benchmark items: five lists, fusion, order, batches."""
     items = table(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("chunk_id"), F.lit("bench").alias("paper_id"), F.col("item_id").alias("chunk_index"), "text", V.hash_embedding(F.col("text"), 64).alias("embedding"))
-    out = retrieval.run(items, retrieval.QueryRequest("the thing and other eat"), models.HashEmbedder(64))
-    return out.select("chunk_id", F.round("rrf_score", 9).alias("rrf_score"), F.array_join("retrieval_keys", ",").alias("retrieval_keys"), "position", "batch_index")
+    out = retrieval.run(items, retrieval.QueryRequest(ASKED), models.HashEmbedder(64))
+    return out.select("chunk_id", F.round("rrf_score", 9).alias("rrf_score"), F.array_join("retrieval_keys", ",").alias("retrieval_keys"), F.col("position").cast("long").alias("position"), F.col("batch_index").cast("long").alias("batch_index"))
 
 
 # Text and blocks
@@ -304,13 +332,16 @@ def claim_exact_dedupe(spark, d):
     return sessions.exact_dedupe(table(spark, d, "documents").select(F.col("doc_id").alias("seq"), "text")).select("seq")
 
 
-@query("claim_semantic_dedupe", """WITH RECURSIVE n AS (SELECT label, vec_id, embedding::DOUBLE[] AS v, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS i FROM embeddings),
-r AS (SELECT label, i, [{'seq': vec_id, 'v': v}] AS kept FROM n WHERE i = 1 UNION ALL
-SELECT n.label, n.i, CASE WHEN len(list_filter(kept, lambda k: list_cosine_similarity(k.v, n.v) >= 0.85)) > 0 THEN kept ELSE list_append(kept, {'seq': n.vec_id, 'v': n.v}) END FROM r JOIN n ON n.label IS NOT DISTINCT FROM r.label AND n.i = r.i + 1)
+CLAIM_NEAR = 0.3  # of these vectors none of one label is as near as 0.85
+
+
+@query("claim_semantic_dedupe", f"""WITH RECURSIVE n AS (SELECT label, vec_id, embedding::DOUBLE[] AS v, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS i FROM embeddings),
+r AS (SELECT label, i, [{{'seq': vec_id, 'v': v}}] AS kept FROM n WHERE i = 1 UNION ALL
+SELECT n.label, n.i, CASE WHEN len(list_filter(kept, lambda k: list_cosine_similarity(k.v, n.v) >= {CLAIM_NEAR})) > 0 THEN kept ELSE list_append(kept, {{'seq': n.vec_id, 'v': n.v}}) END FROM r JOIN n ON n.label IS NOT DISTINCT FROM r.label AND n.i = r.i + 1)
 SELECT label AS session_id, unnest(list_transform(arg_max(kept, i), lambda k: k.seq)) AS seq FROM r GROUP BY label""")
 def claim_semantic_dedupe(spark, d):
     claims = table(spark, d, "embeddings").select(F.col("label").alias("session_id"), F.col("vec_id").alias("seq"), F.col("embedding").alias("vector"))
-    return sessions.semantic_dedupe(claims)
+    return sessions.semantic_dedupe(claims, CLAIM_NEAR)
 
 
 @query("claim_rank", f"""SELECT vec_id AS seq, round(cs, 6) AS relevance FROM (SELECT vec_id, label, list_cosine_similarity(embedding::DOUBLE[], (SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = {FOCUS})) AS cs FROM embeddings)
