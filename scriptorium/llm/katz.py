@@ -4,7 +4,7 @@ Tokens are lower-cased words and one end per text; they are known by 64-bit hash
 tokens, then the bigrams, of about a million tokens in sorted arrays, cut them by hash range, and send one
 block per range; bigrams are grouped by context, and frequent following words take two bytes. So what is
 shuffled grows with the corpus, and no key gathers rows in one place: bigrams of frequent contexts are dealt by
-both words. Bigrams seen once count as unseen, a usual cut-off of such models.
+both words. The query keeps every bigram seen; `seen` may be raised to count rarer ones as unseen.
 
 The model: Good-Turing discounts for counts up to K; unigrams with their exact rest of mass for unknown words;
 bigrams P(w|v) = d c(vw) / (c(v) + 1/2); and for other words alpha(v) P(w), where alpha(v) is the exact quotient
@@ -162,8 +162,8 @@ def runs(batches, key: str = "part"):
         yield rows[0][key], rows
 
 
-def count_pairs(texts: DataFrame, parts: int, head) -> DataFrame:
-    """Rows (v, w, c) of bigrams seen SEEN times or more; rows without v and w count those seen less often."""
+def count_pairs(texts: DataFrame, parts: int, head, seen: int = SEEN) -> DataFrame:
+    """Rows (v, w, c) of bigrams seen `seen` times or more; rows without v and w count those of one sighting left out."""
 
     def local(batches):
         common = head.value
@@ -201,12 +201,12 @@ def count_pairs(texts: DataFrame, parts: int, head) -> DataFrame:
             rows.clear()
             v, w, n = np.concatenate(v), np.concatenate(w), np.concatenate(n).astype(np.int64)
             _, at, n = added(pair_key(v, w), n)
-            kept = n >= SEEN
+            kept = n >= seen
             at = at[kept]
-            once = int((~kept).sum())
-            yield pa.RecordBatch.from_arrays([
-                pa.array([*v[at].view(np.int64).tolist(), None], pa.int64()), pa.array([*w[at].view(np.int64).tolist(), None], pa.int64()), pa.array([*n[kept].tolist(), once], pa.int64()),
-            ], names=["v", "w", "c"])
+            once = int((n[~kept] == 1).sum())
+            names, none = ["v", "w", "c"], pa.array([None], pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(v[at].view(np.int64)), pa.array(w[at].view(np.int64)), pa.array(n[kept])], names=names)
+            yield pa.RecordBatch.from_arrays([none, none, pa.array([once], pa.int64())], names=names)
 
     met = texts.mapInArrow(local, BLOCK).repartition(parts, "part").sortWithinPartitions("part")
     return met.mapInArrow(whole, "v bigint, w bigint, c bigint")
@@ -243,9 +243,9 @@ class Model:
     bloom: object
 
 
-def train(texts: DataFrame, parts: int | None = None) -> Model:
-    """Count and store a model of the column text of `texts`. Null texts are empty; an empty table gives a model
-    that knows nothing."""
+def train(texts: DataFrame, parts: int | None = None, seen: int = SEEN) -> Model:
+    """Count and store a model of the column text of `texts`; bigrams seen less than `seen` times count as unseen.
+    Null texts are empty; an empty table gives a model that knows nothing."""
     spark = texts.sparkSession
     small_batches(spark)
     texts = texts.select("text")
@@ -256,7 +256,7 @@ def train(texts: DataFrame, parts: int | None = None) -> Model:
     tokens, kinds = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     top = words.orderBy(F.desc("c"), "h").limit(HEAD_WORDS).select("h").toPandas()["h"].to_numpy(np.int64)
     common = spark.sparkContext.broadcast(top.view(U))
-    pairs = stored(count_pairs(texts, parts, common), folder, "pairs")
+    pairs = stored(count_pairs(texts, parts, common, seen), folder, "pairs")
     release(spark)
 
     of = {r["c"]: r["n"] for r in words.where(F.col("c") <= K + 1).groupBy("c").agg(F.count("*").alias("n")).collect()}
@@ -264,21 +264,21 @@ def train(texts: DataFrame, parts: int | None = None) -> Model:
     mass = tokens - sum(n * r * (1 - d1[r]) for r, n in of.items() if r <= K)
     unknown = math.log10(1 - mass / (tokens + 1))
     of = {r["c"]: r["n"] for r in pairs.where(f"v IS NOT NULL AND c <= {K + 1}").groupBy("c").agg(F.count("*").alias("n")).collect()}
-    of[1] = pairs.where("v IS NULL").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    of[1] = of.get(1, 0) + pairs.where("v IS NULL").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     d2 = discounts(of)
 
     p = _discounted(F.col("c"), d1) / (tokens + 1)
     priced = words.select("h", "c", p.alias("p"))
     texts_seen = words.where(F.col("h") == np.uint64(END).astype(np.int64).item()).select("c").first()
     start_row = spark.range(1).select(F.lit(np.uint64(START).astype(np.int64).item()).alias("h"), F.lit(texts_seen[0] if texts_seen else 0).cast("long").alias("c"), F.lit(None).cast("double").alias("p"))
-    seen = pairs.where("v IS NOT NULL").select("v", "w", F.col("c").alias("n"), _discounted(F.col("c"), d2).alias("d"))
-    seen = seen.join(priced.select(F.col("h").alias("w"), "p"), "w")
-    sums = seen.groupBy("v").agg(F.sum("d").alias("d"), F.sum("p").alias("given"))
+    met = pairs.where("v IS NOT NULL").select("v", "w", F.col("c").alias("n"), _discounted(F.col("c"), d2).alias("d"))
+    met = met.join(priced.select(F.col("h").alias("w"), "p"), "w")
+    sums = met.groupBy("v").agg(F.sum("d").alias("d"), F.sum("p").alias("given"))
     context = priced.unionByName(start_row).join(sums, F.col("h") == F.col("v"), "left")
     alpha = (1 - F.coalesce("d", F.lit(0.0)) / (F.col("c") + 0.5)) / (1 - F.coalesce("given", F.lit(0.0)))
     context = stored(context.select("h", "c", "p", F.log10(alpha).alias("a")), folder, "contexts")
     start = context.where("p IS NULL").select("a").first()[0] or 0.0
-    gains = seen.join(context.select(F.col("h").alias("v"), F.col("c").alias("cv"), "a"), "v").select(
+    gains = met.join(context.select(F.col("h").alias("v"), F.col("c").alias("cv"), "a"), "v").select(
         "v", "w", F.col("n").alias("c"), (F.log10(F.col("d") / (F.col("cv") + 0.5)) - F.col("a") - F.log10("p")).alias("gain"))
     both = context.where("p IS NOT NULL").select(F.lit(None).cast("long").alias("v"), F.col("h").alias("w"), "c", (F.log10("p") + F.col("a") - unknown).alias("gain")).unionByName(gains)
 
@@ -471,6 +471,6 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string")) % 10 == 0, F.lit(False))
 
 
-def digest(docs: DataFrame) -> DataFrame:
+def digest(docs: DataFrame, seen: int = SEEN) -> DataFrame:
     """The contract's columns: a model of the rows that aren't held out scores all rows."""
-    return score(docs, train(docs.where(~held_out(F.col("doc_id")))), held=held_out)
+    return score(docs, train(docs.where(~held_out(F.col("doc_id"))), seen=seen), held=held_out)

@@ -10,7 +10,7 @@ QUERIES = {
     "op1_bpe": lambda spark, d: bpe.digest(table(spark, d, "documents")),
     "op2_secrets": lambda spark, d: secrets.digest(table(spark, d, "documents")),
     "op3_decontamination": lambda spark, d: decontaminate.digest(table(spark, d, "documents"), table(spark, d, "benchmark")),
-    "op4_katz": lambda spark, d: katz.digest(table(spark, d, "documents")),
+    "op4_katz": lambda spark, d: katz.digest(table(spark, d, "documents"), seen=1),
     "op5_chat": lambda spark, d: chat.digest(chat.with_test_conversation(spark, table(spark, d, "conversations"))),
     "op6_toxicity": lambda spark, d: toxicity.digest(table(spark, d, "documents"), table(spark, d, "labels")),
     "op7_simhash": lambda spark, d: simhash.digest(table(spark, d, "documents")),
