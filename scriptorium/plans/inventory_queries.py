@@ -22,13 +22,16 @@ def unresolved_gate(spark, d):
 
 @query("relevance_cutoff", f"""{R.LISTS}
 SELECT chunk_id, 'hybrid' AS retrieval_key, r AS rank FROM hy WHERE relevance >= 0.016 UNION ALL SELECT chunk_id, 'fts', r FROM f""")
-def relevance_cutoff(spark, d):
-    chunks, vector = R.documents(spark, d), R.focus(spark, d)
+def relevance_cutoff(spark, d, source=R.given_vectors):
+    chunks, vector = source(spark, d)
     near = search.hits(search.hybrid_topk(chunks, R.QUESTION, vector, 10), "hybrid", "hybrid", 0.016)
     both = near.unionByName(search.hits(search.fts_topk(chunks, R.QUESTION, 10), "fts", "fts", 0.016))
     return both.select("chunk_id", "retrieval_key", F.col("rank").cast("long").alias("rank"))
 
 
+R.over_all(relevance_cutoff)
+
+
 BLOCK_SQL = f"""regexp_replace(regexp_replace(regexp_replace(replace({R.entities_sql("regexp_replace(regexp_replace(regexp_replace(html, '<br\\s*/?>', chr(10), 'gi'), '</(?:p|div|h[1-6]|li|tr|blockquote|ul|ol)\\s*>', chr(10), 'gi'), '<[^>]+>', ' ', 'g')")}, chr(160), ' '), '[ \\t]*\\n[ \\t]*', chr(10), 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g'), '[ \\t]{{2,}}', ' ', 'g')"""
 
 

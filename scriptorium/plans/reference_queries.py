@@ -12,6 +12,7 @@ from scriptorium.queries import query
 
 QUESTION = "license version public general work"
 FOCUS = 7
+WIDTH = 256
 
 
 def table(spark, d, name):
@@ -25,6 +26,15 @@ def documents(spark, d):
     return docs.join(vectors, "doc_id")
 
 
+def all_documents(spark, d):
+    """All documents as chunks, with hash embeddings of their texts; a text without words has the zero vector."""
+    docs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("chunk_id"), F.col("source").alias("paper_id"), F.col("doc_id").alias("chunk_index"), "text", "lang", "n_chars", "doc_id")
+    sums = V.hash_embedding_rows(docs, WIDTH).groupBy("chunk_id").agg(F.map_from_entries(F.collect_list(F.struct("bucket", "value"))).alias("m"), F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"))
+    places = F.sequence(F.lit(0), F.lit(WIDTH - 1))
+    value = F.transform(places, lambda i: F.when(F.col("norm") > 0, F.coalesce(F.try_element_at("m", i), F.lit(0)) / F.col("norm")).otherwise(0.0))
+    return docs.join(sums, "chunk_id", "left").withColumn("embedding", value).drop("m", "norm")
+
+
 def focus(spark, d):
     return list(table(spark, d, "embeddings").where(F.col("vec_id") == FOCUS).select("embedding").first()[0])
 
@@ -54,23 +64,31 @@ hy AS (SELECT chunk_id, relevance, row_number() OVER (ORDER BY relevance DESC, l
 hits AS (SELECT chunk_id, 'hybrid' AS k, r FROM hy UNION ALL SELECT chunk_id, 'fts', r FROM f UNION ALL SELECT chunk_id, 'vector', r FROM v)"""
 
 
-def three_lists(spark, d):
-    chunks, vector = documents(spark, d), focus(spark, d)
+def given_vectors(spark, d):
+    return documents(spark, d), focus(spark, d)
+
+
+def all_vectors(spark, d):
+    return all_documents(spark, d), models.HashEmbedder(WIDTH).embed([QUESTION])[0]
+
+
+def three_lists(spark, d, source=given_vectors):
+    chunks, vector = source(spark, d)
     return chunks, search.hits(search.hybrid_topk(chunks, QUESTION, vector, 10), "hybrid", "hybrid").unionByName(
         search.hits(search.fts_topk(chunks, QUESTION, 10), "fts", "fts")).unionByName(search.hits(search.vector_topk(chunks, vector, 10), "vector", "vector"))
 
 
 @query("hybrid_rrf_topk", f"""{LISTS}
 SELECT chunk_id, round(sum(1.0::DOUBLE / (60 + r)), 9) AS rrf_score, string_agg(DISTINCT k, ',' ORDER BY k) AS retrieval_keys FROM hits GROUP BY chunk_id ORDER BY rrf_score DESC, chunk_id LIMIT 15""")
-def hybrid_rrf_topk(spark, d):
-    _, hits = three_lists(spark, d)
+def hybrid_rrf_topk(spark, d, source=given_vectors):
+    _, hits = three_lists(spark, d, source)
     return fusion.fuse(hits, 15).select("chunk_id", F.round("rrf_score", 9).alias("rrf_score"), F.array_join("retrieval_keys", ",").alias("retrieval_keys"))
 
 
 @query("rrf_min_lists", f"""{LISTS}
 SELECT chunk_id, round(sum(1.0::DOUBLE / (60 + r)), 9) AS rrf_score, count(DISTINCT k) AS n_lists, min(r) AS best_rank FROM hits GROUP BY chunk_id HAVING count(DISTINCT k) >= 2""")
-def rrf_min_lists(spark, d):
-    _, hits = three_lists(spark, d)
+def rrf_min_lists(spark, d, source=given_vectors):
+    _, hits = three_lists(spark, d, source)
     out = fusion.fuse(hits, 1 << 30, min_lists=2)
     return out.select("chunk_id", F.round("rrf_score", 9).alias("rrf_score"), F.size("retrieval_keys").cast("long").alias("n_lists"), F.array_min(F.map_values("contributing_ranks")).cast("long").alias("best_rank"))
 
@@ -103,24 +121,24 @@ def filtered_search(spark, d):
 
 @query("exclusions_deepen", f"""{LISTS}
 SELECT chunk_id, k AS retrieval_key, r AS rank FROM hits WHERE chunk_id NOT IN (SELECT doc_id::VARCHAR FROM labels WHERE quality = 1)""")
-def exclusions_deepen(spark, d):
-    _, hits = three_lists(spark, d)
+def exclusions_deepen(spark, d, source=given_vectors):
+    _, hits = three_lists(spark, d, source)
     seen = table(spark, d, "labels").where("quality = 1").select(F.col("doc_id").cast("string").alias("chunk_id"))
     return filters.exclude(hits, chunk_ids=seen).select("chunk_id", "retrieval_key", F.col("rank").cast("long").alias("rank"))
 
 
 @query("exclusions_expand", f"""{LISTS}
 SELECT h.chunk_id, k AS retrieval_key, r AS rank, paper_id FROM hits h JOIN chunks USING (chunk_id) WHERE paper_id NOT IN ('src1', 'src2')""")
-def exclusions_expand(spark, d):
-    chunks, hits = three_lists(spark, d)
+def exclusions_expand(spark, d, source=given_vectors):
+    chunks, hits = three_lists(spark, d, source)
     seen = spark.createDataFrame([("src1",), ("src2",)], "paper_id string")
     return filters.exclude(hits.join(chunks.select("chunk_id", "paper_id"), "chunk_id"), paper_ids=seen).select("chunk_id", "retrieval_key", F.col("rank").cast("long").alias("rank"), "paper_id")
 
 
 @query("summary_batches", f"""{LISTS}, fused AS (SELECT chunk_id, sum(1.0::DOUBLE / (60 + r)) AS s FROM hits GROUP BY chunk_id)
 SELECT chunk_id, n - 1 AS place, (n - 1) // 5 AS batch_index FROM (SELECT chunk_id, row_number() OVER (ORDER BY round(s, 12) DESC, paper_id, chunk_index) AS n FROM fused JOIN chunks USING (chunk_id)) WHERE n <= 15""")
-def summary_batches(spark, d):
-    chunks, hits = three_lists(spark, d)
+def summary_batches(spark, d, source=given_vectors):
+    chunks, hits = three_lists(spark, d, source)
     fused = fusion.fuse(hits, 1 << 30).withColumn("rrf_score", F.round("rrf_score", 12))
     out = fusion.batches(fusion.final_order(fused, chunks, 15), 5, F.desc("rrf_score"), "paper_id", "chunk_index")
     return out.select("chunk_id", (F.col("position") - 1).cast("long").alias("place"), F.col("batch_index").cast("long").alias("batch_index"))
@@ -162,6 +180,23 @@ def query_full(spark, d):
     return out.select("chunk_id", F.round("rrf_score", 9).alias("rrf_score"), F.array_join("retrieval_keys", ",").alias("retrieval_keys"), F.col("position").cast("long").alias("position"), F.col("batch_index").cast("long").alias("batch_index"))
 
 
+@query("query_full_all")
+def query_full_all(spark, d):
+    """The whole query over all documents."""
+    out = retrieval.run(all_documents(spark, d), retrieval.QueryRequest(ASKED), models.HashEmbedder(WIDTH))
+    return out.select("chunk_id", F.round("rrf_score", 9).alias("rrf_score"), F.array_join("retrieval_keys", ",").alias("retrieval_keys"), F.col("position").cast("long").alias("position"), F.col("batch_index").cast("long").alias("batch_index"))
+
+
+def over_all(f):
+    """Registers a query also over all documents, without SQL: its twin joins the vectors that are given."""
+    query(f"{f.__name__}_all")(lambda spark, d: f(spark, d, all_vectors))
+    return f
+
+
+for _f in (hybrid_rrf_topk, rrf_min_lists, exclusions_deepen, exclusions_expand, summary_batches):
+    over_all(_f)
+
+
 # Text and blocks
 
 
