@@ -2,7 +2,8 @@
 
 Validated values are permuted by key within their format, so equal values get equal pseudonyms in all documents
 and no two values share one. Card numbers (13 to 19 digits, Luhn) permute their digits before the check digit,
-which is computed anew; phone numbers permute their digits in place; addresses of the internet permute 32 bits;
+which is computed anew; they are looked for among all divisions of a run of digit groups, so that neighbouring
+numbers hide none; phone numbers permute their digits in place; addresses of the internet permute 32 bits;
 dates permute the day within a cycle of 400 years (146,097 days = 189 x 773). Mail addresses keep their domain
 and shift the letters and digits of the name, each within its own alphabet. Values that fail validation stay.
 Each round's function is SHA-256 over key, kind, round and the other half. Work is per row, without a shuffle.
@@ -13,17 +14,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scriptorium.functions.vectors import let
+
 ROUNDS = 8
-#: Order of kinds: the first alternative that matches at a place holds.
+_MAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}"
+_DATE = r"(?:18|19|20|21)\d\d-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])(?![\d-])"
+_IP = r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\d.]?\d)"
+#: Order of kinds: the first alternative that matches at a place holds. A card's is a whole run of groups of digits, to be divided; a blank ends it where another kind begins.
 PATTERNS = (
-    ("mail", r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}"),
-    ("date", r"(?:18|19|20|21)\d\d-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])(?![\d-])"),
-    ("ip", r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\d.]?\d)"),
+    ("mail", _MAIL),
+    ("date", _DATE),
+    ("ip", _IP),
     ("phone", r"\+\d{1,3} \(\d{3}\) \d{3}-\d{4}(?!\d)"),
-    ("card", r"\d(?:[ -]?\d){12,18}(?![ -]?\d)"),
+    ("card", rf"(?=\d(?:[ -]?\d){{12}})\d++(?:(?:-| (?!{_MAIL}|{_DATE}|{_IP}))\d++)*+"),
 )
 ANY = r"(?<![A-Za-z0-9+.@-])(?:" + "|".join(p for _, p in PATTERNS) + ")"
 KINDS = tuple(k for k, _ in PATTERNS)
+#: What only the card's pattern matches: a run of digits of 13 or more.
+RUN = r"^(?=\d(?:[ -]?\d){12})[\d -]+$"
+WALKS = 64
 EPOCH, CYCLE = "1800-01-01", (189, 773)
 
 
@@ -115,6 +124,64 @@ def pseudonym(value, kind, key: str, back: bool = False):
     return F.when(kind == "card", card).when(kind == "phone", phone).when(kind == "ip", shown).when(kind == "date", date).when(kind == "mail", _mail(value, key, back)).otherwise(value)
 
 
+def _groups(run):
+    """Groups of digits, each with the separator before it."""
+    return F.regexp_extract_all(run, F.lit(r"[ -]?\d+"), F.lit(0))
+
+
+def _joined(groups, first, last):
+    return F.array_join(F.slice(groups, first, F.greatest(last - first + 1, F.lit(0))), "")
+
+
+def _is_card(value):
+    digits = _digits(value)
+    return F.char_length(digits).between(13, 19) & (F.pmod(luhn_sum(digits), F.lit(10)) == 0)
+
+
+def _greedy(groups):
+    """Spans (s, e) of groups that make valid cards, those that end first before others, the longest of an end."""
+    kind = "array<struct<s:int,e:int>>"
+
+    def step(acc, e):
+        starts = F.filter(F.sequence(F.greatest(acc["lo"], e - 18), e), lambda s: _is_card(_joined(groups, s, e)))
+        return let(starts, lambda x: F.when(F.size(x) > 0, F.struct((e + 1).alias("lo"), F.concat(acc["out"], F.array(F.struct(x[0].alias("s"), e.alias("e")))).alias("out"))).otherwise(acc))
+
+    return F.aggregate(F.sequence(F.lit(1), F.size(groups)), F.struct(F.lit(1).alias("lo"), F.array().cast(kind).alias("out")), step)["out"]
+
+
+def cards_in(run):
+    """Spans (s, e) of groups of a run that are cards: the whole run if it is one."""
+    return let(_groups(run), lambda groups: F.when(F.size(groups) == 0, F.array().cast("array<struct<s:int,e:int>>")).when(
+        _is_card(run), F.array(F.struct(F.lit(1).alias("s"), F.size(groups).alias("e")))).otherwise(_greedy(groups)))
+
+
+def _run(run, spans, key: str, back: bool):
+    """The run with pseudonyms for its cards. A pseudonym after which the run would be divided otherwise is
+    permuted again, until the division is the same; so the way back finds the same cards."""
+    return let(F.struct(_groups(run).alias("groups"), _is_card(run).alias("whole")), lambda r: _renewed(r["groups"], r["whole"], spans, key, back))
+
+
+def _renewed(groups, whole, spans, key: str, back: bool):
+    def step(acc, span):
+        parts = F.struct(_joined(groups, acc["lo"], span["s"] - 1).alias("gap"), _joined(groups, span["s"], span["e"]).alias("card"), _joined(groups, span["e"] + 1, F.size(groups)).alias("tail"))
+        own = F.array(F.struct((span["s"] - acc["lo"] + 1).alias("s"), (span["e"] - acc["lo"] + 1).alias("e")))
+
+        def walked(p):
+            def same(new):
+                return whole | (~_is_card(F.concat(acc["text"], p["gap"], new, p["tail"])) & (let(_groups(F.concat(p["gap"], new)), _greedy) == own))
+
+            def walk(w, _):
+                return F.when(w["done"], w).otherwise(let(pseudonym(w["x"], F.lit("card"), key, back), lambda new: F.struct(new.alias("x"), same(new).alias("done"))))
+
+            found = F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), F.struct(p["card"].alias("x"), F.lit(False).alias("done")), walk)
+            return F.struct((span["e"] + 1).alias("lo"), F.concat(acc["text"], p["gap"], found["x"]).alias("text"))
+
+        return let(parts, walked)
+
+    end = F.aggregate(spans, F.struct(F.lit(1).alias("lo"), F.lit("").alias("text")), step)
+    return let(end, lambda x: F.concat(x["text"], _joined(groups, x["lo"], F.size(groups))))
+
+
 def _mail(value, key: str, back: bool):
     """Letters and digits of the name shifted within their alphabets, by amounts that the domain and the place
     and class of every character give; the shape stays, so the shifts can be undone."""
@@ -141,13 +208,14 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", found: str =
     are rows like others; an empty table gives no rows. With back, pseudonyms become the values again.
     """
     matches = F.regexp_extract_all(F.col(text_col), F.lit(ANY), F.lit(0))
-    values = F.transform(matches, lambda v: F.struct(v.alias("value"), kind_of(v).alias("kind")))
+    values = F.transform(matches, lambda v: F.struct(v.alias("value"), F.when(~v.rlike(RUN), kind_of(v)).alias("kind"), F.when(v.rlike(RUN), cards_in(v)).alias("cards")))
     between = F.split(F.col(text_col), ANY, -1)
-    renewed = F.array_join(F.zip_with(F.col("__between"), F.col("__values"), lambda b, v: F.concat(b, F.coalesce(pseudonym(v["value"], v["kind"], key, back), F.lit("")))), "")
+    renewed = F.array_join(F.zip_with(F.col("__between"), F.col("__values"), lambda b, v: F.concat(b, F.coalesce(
+        F.when(F.size(v["cards"]) > 0, _run(v["value"], v["cards"], key, back)).otherwise(pseudonym(v["value"], v["kind"], key, back)), F.lit("")))), "")
     # Few texts hold any value: the others skip the functions above.
     some = docs.withColumn("__values", F.when(F.col(text_col).rlike(ANY), values))
     some = some.withColumn("__between", F.when(F.col("__values").isNotNull(), between))
-    kinds = F.filter(F.transform("__values", lambda v: v["kind"]), lambda k: k.isNotNull())
+    kinds = F.filter(F.flatten(F.transform("__values", lambda v: F.when(v["cards"].isNotNull(), F.transform(v["cards"], lambda _: F.lit("card"))).otherwise(F.array(v["kind"])))), lambda k: k.isNotNull())
     changed = some.withColumn(text_col, F.when(F.col("__values").isNotNull(), renewed).otherwise(F.col(text_col)))
     return changed.withColumn(found, F.coalesce(kinds, F.array().cast("array<string>"))).drop("__values", "__between")
 

@@ -7,7 +7,9 @@ from collections import Counter
 
 import pytest
 
-from scriptorium.llm import katz, queries
+from pyspark.sql import functions as F
+
+from scriptorium.llm import katz, pii, queries
 
 
 def test_katz_query_prices_bigrams_seen_once(spark, tmp_path, monkeypatch):
@@ -42,3 +44,20 @@ def test_katz_query_prices_bigrams_seen_once(spark, tmp_path, monkeypatch):
     for i, w in tokens.items():
         assert got[i] == pytest.approx(sum(math.log10(prob(a, x)) for a, x in zip(["<s>", *w[:-1]], w, strict=True)))
     assert sum(prob("w0", w) for w in c) + prob("w0", "nothing like it") == pytest.approx(1)
+
+
+def test_cards_beside_other_numbers_are_found(spark):
+    card, short = "4111 1111 1111 1111", "378282246310005"
+    joined = card.replace(" ", "")
+    texts = [f"{joined} 12", f"{card} 2024", f"2024 {card}", f"12 {joined} 99 {short} 7", f"7536784127813050 {joined}", f"{card} 2024-01-05", f"{card} 192.168.0.1", f"no {'7 ' * 200}{joined}", card, "1234 5678 1234 5678 12"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(2)
+    out = pii.pseudonymise(rows, "k").cache()
+    got = {r["doc_id"]: r for r in out.collect()}
+    for i, t in enumerate(texts[:-1]):
+        assert "card" in got[i]["pii"] and card not in got[i]["text"] and joined not in got[i]["text"] and short not in got[i]["text"]
+        assert i == 6 or len(got[i]["text"]) == len(t)
+    assert got[3]["pii"] == ["card", "card"] and got[5]["pii"] == ["card", "date"] and got[6]["pii"] == ["card", "ip"]
+    many = spark.range(300).select(F.col("id").alias("doc_id"), F.format_string("2024 4111 1111 %04d 11", F.col("id")).alias("text"))
+    for first in (rows, many):
+        again = pii.pseudonymise(pii.pseudonymise(first, "k").drop("pii"), "k", back=True)
+        assert {r["doc_id"]: r["text"] for r in again.collect()} == {r["doc_id"]: r["text"] for r in first.collect()}
