@@ -3,12 +3,16 @@
 Learning: tokens are words and their beginnings of three to seven characters, which catch inflected and compound
 forms. Of labelled documents, distinct texts only, each token's document counts in either class give a log-odds
 ratio with an informative Dirichlet prior (the token's overall share) and its z value. Tokens that are
-significantly toxic keep their log-odds; a word scores as its best token; all words pay a small drift, so that
-a random text's expected score is negative. Scoring: one linear scan finds all maximal segments of a text (Ruzzo and Tompa). The best one's
-score is calibrated by the extreme-value law of such segments: the expected number of segments as good in a
-random text of that length is E = K n exp(-lambda S), with lambda from the token distribution of the other
-class and K from its texts. A logistic curve, fitted on the learning rows, turns log E and the share of
-significant segments into a probability.
+significantly toxic, and at least exp(LEAST_ODDS) times as likely in toxic documents, keep their log-odds: weaker
+ones tell languages and topics apart rather than toxicity. A word scores as its best token; all words pay a
+small drift, so that a random text's expected score is negative. Scoring: one linear scan finds all maximal
+segments of a text (Ruzzo and Tompa). The best one's score is calibrated by the extreme-value law of such
+segments: the expected number of segments as good in a random text of that length is E = K n exp(-lambda S), with
+lambda from the token distribution of the other class and K from its texts. A logistic curve, fitted on the
+learning rows, turns log E and the number of significant segments into a probability.
+
+No token is left out for its number: one whose z could not reach LEAST_Z even if no other document held it is
+dropped before the others are counted, which changes nothing, and only those that pass both tests are collected.
 """
 
 from __future__ import annotations
@@ -25,12 +29,14 @@ from pyspark.sql import functions as F
 from scriptorium.llm.common import keep_rows, map_rows, only
 from scriptorium.llm.decontaminate import words_of
 
-#: At most so many labelled rows are learnt from (those of least hash); at most so many tokens, those in most
-#: toxic documents, are weighed, and at most so many, of highest z, are kept.
-MOST_ROWS, MOST_WEIGHED, MOST_TOKENS = 200_000, 200_000, 50_000
+#: At most so many labelled rows are learnt from (those of least hash).
+MOST_ROWS = 200_000
 BEGINNINGS = range(3, 8)
 CACHED_WORDS = 400_000
-PRIOR, LEAST_Z, DRIFT, THRESHOLD, SIGNIFICANT = 2000.0, 4.0, 0.05, 0.7, 0.01
+#: Minus the logarithm of log 2: the median of the standard extreme-value law.
+GUMBEL_MEDIAN = 0.3665
+PRIOR, LEAST_Z, LEAST_ODDS, DRIFT, SIGNIFICANT = 2000.0, 3.0, 2.0, 0.05, 0.01
+THRESHOLD = 0.7
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -104,18 +110,21 @@ class Model:
         """log10 of the expected number of segments this good in a random text of n words."""
         return (self.log_k + math.log(max(n, 1)) - self.rate * score) / math.log(10)
 
-    def features(self, text: str | None) -> tuple[float, float]:
-        n, found = self.passages(text)
+    def features(self, n: int, found: list[tuple[int, int, float]]) -> tuple[float, float]:
+        """How far below one the expected number of the best segment is, in powers of ten; log of the number of significant ones."""
         if not found:
             return 0.0, 0.0
         logs = [self.expected(n, s) for *_, s in found]
         return min(30.0, max(-5.0, -min(logs))), math.log1p(sum(x < math.log10(SIGNIFICANT) for x in logs))
 
-    def probability(self, text: str | None) -> float:
-        a, b = self.features(text)
+    def judged(self, n: int, found: list[tuple[int, int, float]]) -> float:
+        a, b = self.features(n, found)
         x = self.curve[0] + self.curve[1] * a + self.curve[2] * b
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, x))))
 
+    def probability(self, text: str | None) -> float:
+        return self.judged(*self.passages(text))
+
 
 def known_labels(docs: DataFrame, labels: DataFrame, allowed, id_col: str, text_col: str, most: int) -> dict:
     """id to label of learning rows: one for each distinct text, at most `most` of them, of least hash."""
@@ -126,8 +135,16 @@ def known_labels(docs: DataFrame, labels: DataFrame, allowed, id_col: str, text_
     return {r["id"]: int(r["label"] > 0) for r in one.orderBy(F.xxhash64("id"), "id").limit(most).toLocalIterator()}
 
 
+def weighed(c1, c0, n1: int, n0: int):
+    """Log-odds ratio and z of tokens in c1 of n1 toxic and c0 of n0 other documents; z falls as c0 grows."""
+    prior = PRIOR * (c1 + c0) / F.lit(n1 + n0) / 10
+    a1, a0, mass = c1 + prior + 0.01, c0 + prior + 0.01, PRIOR / 10 + 0.01
+    odds = F.log(a1 / (n1 + mass - a1 + 1)) - F.log(a0 / (n0 + mass - a0 + 1))
+    return odds, odds / F.sqrt(1 / a1 + 1 / a0)
+
+
 def fit(docs: DataFrame, labels: DataFrame, allowed=lambda doc_id: F.lit(True), id_col: str = "doc_id", text_col: str = "text",
-        most_rows: int = MOST_ROWS, most_weighed: int = MOST_WEIGHED, most_tokens: int = MOST_TOKENS) -> Model:
+        most_rows: int = MOST_ROWS) -> Model:
     """Learn from the labelled rows whose id satisfies `allowed` (a column condition).
 
     Null ids, labels and texts teach nothing; of repeated ids the higher label holds; with one class only, or
@@ -150,53 +167,54 @@ def fit(docs: DataFrame, labels: DataFrame, allowed=lambda doc_id: F.lit(True),
         for token, n in seen.items():
             yield {"token": token, "c": n}
 
-    weighed = map_rows(given, "token string, c bigint", toxic).groupBy("token").agg(F.sum("c").alias("c1")).where("c1 >= 3")
-    weighed = weighed.orderBy(F.desc("c1"), "token").limit(most_weighed)
-    watched = spark.sparkContext.broadcast(frozenset(r[0] for r in weighed.select("token").toLocalIterator()))
+    counted = map_rows(given, "token string, c bigint", toxic).groupBy("token").agg(F.sum("c").alias("c1"))
+    odds, z = weighed(F.col("c1"), F.lit(0), n1, n0)
+    promising = {r["token"]: r["c1"] for r in counted.where((odds >= LEAST_ODDS) & (z >= LEAST_Z)).toLocalIterator()}
+    watched = spark.sparkContext.broadcast(frozenset(promising))
 
     def clean(rows):
         seen: Counter = Counter()
+        words = 0
         for row in rows:
             if sent.value.get(row["id"]) == 0:
-                seen.update(tokens_of(words_of(row["text"])) & watched.value)
+                own = words_of(row["text"])
+                words += len(own)
+                seen.update(tokens_of(own) & watched.value)
         for token, n in seen.items():
             yield {"token": token, "c": n}
+        yield {"token": None, "c": words}
+
+    others = {r["token"]: r["c"] for r in map_rows(given, "token string, c bigint", clean).groupBy("token").agg(F.sum("c").alias("c")).toLocalIterator()}
+    words = max(1, others.pop(None, 0))
+    counts = spark.createDataFrame([(t, c, others.get(t, 0)) for t, c in promising.items()], "token string, c1 bigint, c0 bigint") if promising else None
+    odds, z = weighed(F.col("c1"), F.col("c0"), n1, n0)
+    kept = counts.select("token", "c0", odds.alias("odds"), z.alias("z")).where((F.col("odds") >= LEAST_ODDS) & (F.col("z") >= LEAST_Z)).collect() if promising else []
+    model = Model({r["token"]: float(r["odds"]) for r in sorted(kept, key=lambda r: r["token"])})
+    share = [(r["odds"] - DRIFT, r["c0"] / words) for r in kept if r["c0"]]
+    model.rate = _rate(share, 1 - sum(p for _, p in share))
+
+    def best(rows):
+        for row in rows:
+            if sent.value.get(row["id"]) == 0:
+                n, found = model.passages(row["text"])
+                if found:
+                    yield {"level": model.rate * max(s for *_, s in found) - math.log(max(n, 1))}
 
-    others = map_rows(given, "token string, c bigint", clean).groupBy("token").agg(F.sum("c").alias("c0"))
-    counts = weighed.join(others, "token", "left").select("token", "c1", F.coalesce("c0", F.lit(0)).alias("c0"))
-    prior = PRIOR * (F.col("c1") + F.col("c0")) / F.lit(n1 + n0) / 10
-    a1, a0 = F.col("c1") + prior + 0.01, F.col("c0") + prior + 0.01
-    mass = PRIOR / 10 + 0.01
-    odds = F.log(a1 / (n1 + mass - a1 + 1)) - F.log(a0 / (n0 + mass - a0 + 1))
-    scored = counts.select("token", "c0", odds.alias("odds"), (odds / F.sqrt(1 / a1 + 1 / a0)).alias("z"))
-    best = scored.where(f"z >= {LEAST_Z}").orderBy(F.desc("z"), "token").limit(most_tokens).collect()
-    model = Model({r["token"]: float(r["odds"]) for r in best})
+    level = map_rows(given, "level double", best).agg(F.median("level")).first()[0]
+    if level is not None:
+        model.log_k = float(level) - GUMBEL_MEDIAN
 
     def measure(rows):
         for row in rows:
             if (label := sent.value.get(row["id"])) is not None:
-                n, found = model.passages(row["text"])
-                logs = sorted((s for *_, s in found), reverse=True)
-                yield {"label": label, "n": n, "best": logs[0] if logs else 0.0, "positive": float(sum(logs)), "scores": logs[:64]}
-
-    seen = map_rows(given, "label int, n bigint, best double, positive double, scores array<double>", measure).toPandas()
-    rest = seen[seen.label == 0]
-    words = max(1.0, float(rest.n.sum()))
-    share = {w: r["c0"] / words for w, r in zip(model.tokens, best, strict=True)}
-    model.rate = _rate([(model.tokens[w] - DRIFT, p) for w, p in share.items() if p], 1 - sum(share.values()))
-    held = rest[rest.best > 0]
-    if len(held):
-        model.log_k = float(np.median(model.rate * held.best - np.log(np.maximum(held.n, 1)))) - 0.3665
-    x = np.array([_features(model, n, list(s)) for n, s in zip(seen.n, seen.scores, strict=True)]).reshape(-1, 2)
-    model.curve = _logistic(np.column_stack([np.ones(len(x)), x]), seen.label.to_numpy(float))
-    return model
+                a, b = model.features(*model.passages(row["text"]))
+                yield {"label": label, "a": a, "b": b}
 
-
-def _features(model: Model, n: int, scores: list[float]) -> tuple[float, float]:
-    if not scores:
-        return 0.0, 0.0
-    logs = [model.expected(n, s) for s in scores]
-    return min(30.0, max(-5.0, -min(logs))), math.log1p(sum(x < math.log10(SIGNIFICANT) for x in logs))
+    # Equal rows of features weigh as one with their number, so that few reach the driver.
+    seen = map_rows(given, "label int, a double, b double", measure).groupBy("label", F.round("a", 2).alias("a"), F.col("b")).count().toPandas()
+    x = np.column_stack([np.ones(len(seen)), seen.a, seen.b])
+    model.curve = _logistic(x, seen.label.to_numpy(float), seen["count"].to_numpy(float))
+    return model
 
 
 def _rate(scores: list[tuple[float, float]], rest: float) -> float:
@@ -215,11 +233,12 @@ def _rate(scores: list[tuple[float, float]], rest: float) -> float:
     return max(0.2, min(2.0, high))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float, ...]:
+def _logistic(x: np.ndarray, y: np.ndarray, times: np.ndarray, ridge: float = 1e-3) -> tuple[float, ...]:
+    """Weights of rows x with labels y, each of which counts so many times."""
     w = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), x.T @ (y - p) - ridge * w)
+        step = np.linalg.solve((x * (times * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), x.T @ (times * (y - p)) - ridge * w)
         w = w + np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-8:
             break
@@ -241,15 +260,17 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         for row in rows:
             n, found = own.passages(row["text"])
             kept = [{"start": s, "end": e, "score": x} for s, e, x in found if own.expected(n, x) < limit]
-            a, b = _features(own, n, [x for *_, x in found])
-            z = own.curve[0] + own.curve[1] * a + own.curve[2] * b
-            yield {"doc_id": row["doc_id"], "score": 1 / (1 + math.exp(-max(-40.0, min(40.0, z)))), "passages": kept}
+            yield {"doc_id": row["doc_id"], "score": own.judged(n, found), "passages": kept}
 
     return map_rows(only(docs, doc_id=id_col, text=text_col), f"doc_id {kind}, score double, passages array<struct<start bigint, end bigint, score double>>", work)
 
 
 def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """docs, all columns, without the rows that score the threshold or more."""
+    """docs, all columns, without the rows that score the threshold or more.
+
+    A null or empty text scores as one without passages and stays; repeated rows are judged alike, null ids are
+    rows like others; an empty table gives no rows.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     return keep_rows(docs, text_col, lambda texts: (texts, [sent.value.probability(t) < threshold for t in texts]))
 
