@@ -72,6 +72,12 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def removed(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of the shared store that nothing reads any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop shuffle files of frames that nothing refers to any more."""
     gc.collect()
