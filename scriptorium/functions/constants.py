@@ -20,6 +20,9 @@ FRONT_MATTER_HEADINGS = ["abstract", "background", "introduction", "methods", "r
                          "declaration of use of ai"]
 PERSON = r"^[A-Z][A-Za-z'`\-]+(?:\s+[A-Z](?:\.)?)?(?:\s+[A-Z][A-Za-z'`\-]+){0,3}$"
 AUTHOR_LINE = r"^[A-Z][A-Za-z.\-'\s,&]+$"
+NAMES_INSIDE = r"[A-Z][A-Za-z'`\-]+(?:\s+[A-Z](?:\.)?)?(?:\s+[A-Z][A-Za-z'`\-]+)+"
+NAME_TOKEN = r"^[A-Z][A-Za-z'`\-]*\.?$"
+EXCLUDED_TITLES = ["vocabulary learning and instruction", "abstract"]
 AUTHOR_MARKS = r"(?:\^\{[^}]+\}|\[[^\]]+\]|[\*†‡§¶‖]+|\b\d+\b(?=\s*[A-Z]))"
 NUMBERED_HEADING = r"^\d+(?:\.\d+)*\s+[A-Z]"
 YEAR, VOLUME, ISSUE = r"\b((?:19|20)\d{2})\b", r"(?i)\bVolume\s+(\d+)\b", r"(?i)\b(?:Number|Issue)\s+(\d+)\b"

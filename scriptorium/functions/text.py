@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import html
+import json
 from functools import reduce
 
 from pyspark.sql import Column
@@ -10,9 +12,39 @@ from pyspark.sql import functions as F
 from scriptorium.functions import constants as C
 
 
+ENTITY = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)"
+#: Names that count without a semicolon too, longest first.
+BARE = sorted((n for n in html.entities.html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+REPLACED = {n: html.unescape(f"&#{n};") for n in range(0x80, 0xA0)}
+
+
+def _numbered(entity: Column) -> Column:
+    """The character of a numeric entity, by the rules of HTML for numbers that name none."""
+    digits = F.regexp_extract(entity, "([0-9a-fA-F]+);?$", 1)
+    number = F.when(F.char_length(F.regexp_replace(digits, "^0+", "")) > 12, F.lit(1 << 40)).when(entity.rlike("^&#[xX]"), F.conv(digits, 16, 10).cast("long")).otherwise(F.conv(digits, 10, 10).cast("long"))
+    old = F.try_element_at(F.create_map(*[F.lit(x) for pair in REPLACED.items() for x in pair]), number.cast("int"))
+    none = (number == 0) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF)
+    gone = number.between(1, 8) | number.between(0xE, 0x1F) | (number == 0xB) | (number == 0x7F) | number.between(0xFDD0, 0xFDEF) | ((number % 65536) >= 65534)
+    return F.when(none, "\ufffd").when(old.isNotNull(), old).when(gone, "").otherwise(F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+
+
+def _named(entity: Column) -> Column:
+    """The characters of a named entity; a name without semicolon by its longest known beginning; else as it is."""
+    table = F.from_json(F.lit(json.dumps(html.entities.html5)), "map<string,string>")
+    whole = F.try_element_at(table, F.substr(entity, F.lit(2)))
+    start = F.regexp_extract(entity, f"^&({'|'.join(BARE)})", 1)
+    return F.coalesce(whole, F.when(start != "", F.concat(F.try_element_at(table, start), F.substr(entity, F.char_length(start) + 2))), entity)
+
+
 def unescape_entities(text: Column) -> Column:
-    """Named entities to characters, the ampersand last, so that nothing is unescaped twice."""
-    return F.replace(reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), C.ENTITIES.items(), text), F.lit("&amp;"), F.lit("&"))
+    """Named and numeric entities to characters, each once."""
+    def character(e):
+        common = reduce(lambda c, x: c.when(e == x[0], x[1]), C.ENTITIES.items(), F.when(e == "&amp;", "&"))
+        return common.when(e.startswith("&#"), _numbered(e)).otherwise(_named(e))
+
+    found = F.transform(F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)), character)
+    whole = F.array_join(F.zip_with(F.split(text, ENTITY, -1), found, lambda t, e: F.concat(t, F.coalesce(e, F.lit("")))), "")
+    return F.when(text.rlike(ENTITY), whole).otherwise(text)
 
 
 def html_to_text(html: Column, blocks: str = "p|div|h[1-6]|li|tr") -> Column:
@@ -131,16 +163,38 @@ def citation_label(authors: Column, year: Column, paper_id: Column) -> Column:
 
 
 def json_object(reply: Column) -> Column:
-    """The outermost braces of a model's reply, fences and prose left out, trailing commas removed; null if none."""
-    found = F.nullif(F.regexp_extract(reply, r"(?s)\{.*\}", 0), F.lit(""))
-    return F.regexp_replace(found, r",\s*([}\]])", "$1")
+    """The outermost braces of a model's reply, fences and prose left out; null if none."""
+    return F.nullif(F.regexp_extract(reply, r"(?s)\{.*\}", 0), F.lit(""))
+
+
+QUOTED = r""""(?:[^"\\]|\\.)*"|'(?:[^'\\]|\\.)*'"""
+
+
+def literal_as_json(text: Column) -> Column:
+    """Python literals as those of JSON and no comma before a closing bracket, outside quoted strings only."""
+    parts = F.regexp_extract_all(text, F.lit(rf"(?s){QUOTED}|[^\"']+|[\"']"), F.lit(0))
+
+    def plain(part):
+        out = part
+        for word, other in (("True", "true"), ("False", "false"), ("None", "null")):
+            out = F.regexp_replace(out, rf"\b{word}\b", other)
+        return F.when(part.rlike("^[\"']"), part).otherwise(F.regexp_replace(out, r",(\s*[}\]])", "$1"))
+
+    return F.array_join(F.transform(parts, plain), "")
 
 
 def parse_reply(reply: Column, schema: str) -> Column:
-    """A reply's object; single quotes and Python literals are read too; null where it can't be read."""
+    """A reply's object: as JSON if it is that, else with single quotes and Python literals; null where it can't be read."""
     text = json_object(reply)
-    plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, r"\bTrue\b", "true"), r"\bFalse\b", "false"), r"\bNone\b", "null")
-    return F.from_json(plain, schema, {"mode": "PERMISSIVE", "allowSingleQuotes": "true"})
+    loose = F.from_json(literal_as_json(text), schema, {"mode": "PERMISSIVE", "allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"})
+    return F.when(F.try_parse_json(text).isNotNull(), F.from_json(text, schema)).otherwise(loose)
+
+
+def reply_field(reply: Column, name: str) -> Column:
+    """A string field of a reply that is no JSON: up to the first quote that a comma or brace follows, else to the end."""
+    rest = F.nullif(F.regexp_extract(reply, rf'(?s)"{name}"[^:]*:[^"]*"(.*)', 1), F.lit(""))
+    closed = F.regexp_extract(rest, r'(?s)^((?:.*?[^\\])??)"\s*[,}]', 1)
+    return F.when(rest.rlike(r'(?s)^(?:.*?[^\\])??"\s*[,}]'), closed).otherwise(F.trim(F.regexp_replace(F.rtrim(rest), r"\}+$", "")))
 
 
 def summary_section(markdown: Column) -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from scriptorium.functions.constants import ANSWER_ALIASES, ANSWER_MODES
 from scriptorium.operators import filters, fusion, search
 
-TOP_K, MOST_TOP_K, MOST_CALLS, TOOLS = 6, 12, 3, ("search_chunks", "retrieve_chunks")
+TOP_K, MOST_TOP_K, MOST_CALLS, TOOLS = 6, 12, 3, ("retrieve_evidence",)
 
 
 @dataclass(frozen=True)
@@ -52,8 +52,9 @@ def parse_plan(reply: str) -> Plan:
 
 
 def check_plan(plan: Plan) -> Plan:
-    """The plan with alias modes resolved and top_k in bounds, or ValueError."""
-    mode = ANSWER_ALIASES.get(plan.answer_mode, plan.answer_mode)
+    """The plan with alias modes resolved, empty names left out of lists and top_k in bounds, or ValueError."""
+    mode = plan.answer_mode.strip().lower()
+    mode = ANSWER_ALIASES.get(mode, mode)
     if not plan.intent or not plan.reason or mode not in ANSWER_MODES or not 1 <= len(plan.tool_calls) <= MOST_CALLS:
         raise ValueError("the plan lacks intent, reason, a known answer mode or one to three calls")
     calls = []
@@ -62,6 +63,7 @@ def check_plan(plan: Plan) -> Plan:
         f = c.filters
         if not c.query or c.tool not in TOOLS or top_k < 0 or (f.year_min is not None and f.year_max is not None and f.year_min > f.year_max):
             raise ValueError("a call lacks a query or a known tool, or its limits are contrary")
+        f = replace(f, **{k: [x for x in getattr(f, k) if x] for k in ("paper_id_in", "authors_any", "classification_label_in")})
         calls.append(ToolCall(c.query, c.tool, f, min(top_k, MOST_TOP_K)))
     return Plan(plan.intent, mode, plan.reason, tuple(calls))
 

@@ -8,21 +8,80 @@ from pyspark.sql import Window as W
 
 from scriptorium.functions import constants as C
 from scriptorium.functions import text as T
+from scriptorium.functions.vectors import let
+
+
+NONE = "array<string>"
+
+
+def distinct_by_key(texts):
+    """The first of texts that are equal but for case and white space, in order."""
+    keys = F.transform(texts, T.normalize_title)
+    return F.filter(texts, lambda x, i: F.array_position(keys, F.element_at(keys, i + 1)) == i + 1)
+
+
+def in_turn(text):
+    """Names among capitalised words that stand side by side: as soon as two or more of them make a person."""
+    state = "struct<names:array<string>,held:array<string>,done:boolean>"
+    start = F.struct(F.array().cast(NONE).alias("names"), F.array().cast(NONE).alias("held"), F.lit(False).alias("done"))
+
+    def step(acc, token):
+        held = F.concat(acc["held"], F.array(token))
+        name = F.array_join(held, " ")
+        none = F.array().cast(NONE)
+        return (F.when(acc["done"] | T.is_affiliation(name, C.METADATA_AFFILIATIONS), F.struct(acc["names"].alias("names"), none.alias("held"), F.lit(True).alias("done")))
+                .when(~token.rlike(C.NAME_TOKEN), F.struct(acc["names"].alias("names"), none.alias("held"), F.lit(False).alias("done")))
+                .when((F.size(held) >= 2) & T.is_person(name), F.struct(F.concat(acc["names"], F.array(name)).alias("names"), none.alias("held"), F.lit(False).alias("done")))
+                .otherwise(F.struct(acc["names"].alias("names"), F.when(F.size(held) >= 4, none).otherwise(held).alias("held"), F.lit(False).alias("done"))).cast(state))
+
+    tokens = F.filter(F.transform(F.split(text, r"\s+"), lambda t: F.btrim(t, F.lit(" ,;"))), lambda t: t != "")
+    return F.aggregate(tokens, start.cast(state), step)["names"]
+
+
+def author_names(text):
+    """Names in a front-matter text: marks go, and all from the first word of an affiliation on."""
+    marked = F.regexp_replace(F.regexp_replace(F.regexp_replace(T.clean_text(text), C.AUTHOR_MARKS, " "), r"\s*[,;:/]\s*", ", "), r"\s+", " ")
+
+    def named(own):
+        segment = F.btrim(F.regexp_replace(own, rf"(?i)(?:^|\s)\S*(?:{'|'.join(C.METADATA_AFFILIATIONS)}).*$", ""), F.lit(" ,;"))
+        return let(segment, found)
+
+    def found(x):
+        line = (T.word_count(x) <= 8) & ~T.is_affiliation(x, C.METADATA_AFFILIATIONS) & ~F.lower(x).rlike("issn|doi|copyright") & x.rlike(C.AUTHOR_LINE)
+        split = F.transform(F.split(x, r"\s+(?:and|&)\s+|,\s*(?=[A-Z][a-z])"), F.trim)
+        listed = F.filter(F.transform(F.split(F.replace(F.replace(x, F.lit(" and "), F.lit(", ")), F.lit(" & "), F.lit(", ")), ","), lambda t: F.btrim(t, F.lit(" ,;"))), lambda t: t != "")
+        inside = F.filter(F.regexp_extract_all(x, F.lit(C.NAMES_INSIDE), F.lit(0)), T.is_person)
+        return (F.when(x == "", F.array().cast(NONE)).when(line, F.filter(split, T.is_person)).when(F.size(listed) > 1, F.filter(listed, T.is_person))
+                .when(F.size(inside) > 0, inside).otherwise(in_turn(x)))
+
+    front = F.lower(text).rlike("issn|doi|copyright")
+    return F.when(front, F.array().cast(NONE)).otherwise(let(F.btrim(marked, F.lit(" ,")), named))
+
+
+def year_of(identifier):
+    """A year that a path or id begins a name with."""
+    return F.coalesce(F.nullif(F.regexp_extract(identifier, r"\b((?:19|20)\d{2})[_-][A-Za-z]", 1), F.lit("")), F.nullif(F.regexp_extract(identifier, r"/((?:19|20)\d{2})_[^/]+", 1), F.lit("")))
 
 
 def extract(blocks: DataFrame, excluded_titles: list[str] | None = None) -> DataFrame:
     """Rows (doc_id, title, journal, volume, issue, year, doi, issn, authors, references) from blocks.
 
     The title is the longest heading of page 0 before the abstract, the first of equals. Journal fields come from
-    the first two pages before the abstract; references from the section of that name to the next heading.
+    the first two pages before the abstract, the year else from the source path, the ids of blocks of page 0 or
+    the document's id, where blocks have columns source_path and document_id; references from the section of
+    that name to the next heading: all items of lists, and texts that look like references.
     """
+    excluded_titles = C.EXCLUDED_TITLES if excluded_titles is None else excluded_titles
+    blank = F.lit(None).cast("string")
+    for name in ("source_path", "document_id"):
+        blocks = blocks if name in blocks.columns else blocks.withColumn(name, blank)
     order = W.partitionBy("doc_id").orderBy("page_pos", "block_pos")
     so_far = order.rowsBetween(W.unboundedPreceding, 0)
     df = blocks.withColumn("text", T.clean_text_block(T.html_to_text_metadata(F.coalesce("html", F.lit("")))))
     df = df.withColumn("is_head", F.col("block_type") == "SectionHeader").withColumn("key", T.normalize_title(F.col("text")))
     df = df.withColumn("abstract", F.max((F.col("is_head") & (F.col("key") == "abstract")).cast("int")).over(so_far)).withColumn("pos", F.row_number().over(order))
     front = (F.col("abstract") == 0) & (F.col("page_pos") < 2)
-    titled = df.where(front & F.col("is_head") & (F.col("page_pos") == 0) & (F.col("text") != "") & ~F.col("key").isin("", *(excluded_titles or [])))
+    titled = df.where(front & F.col("is_head") & (F.col("page_pos") == 0) & (F.col("text") != "") & ~F.col("key").isin("", *excluded_titles))
     titles = titled.groupBy("doc_id").agg(F.max_by(T.clean_text(F.col("text")), F.struct(T.word_count(F.col("text")), -F.col("pos"))).alias("title"))
     df = df.join(titles, "doc_id", "left")
     journal_ok = F.col("is_head") & (F.col("page_pos") == 0) & (F.col("key") != "") & ~F.coalesce(F.col("key") == T.normalize_title(F.col("title")), F.lit(False)) & ~F.col("key").isin(C.FRONT_MATTER_HEADINGS) & ~F.col("text").rlike(C.NUMBERED_HEADING) & ~F.col("key").rlike(r"\b(?:introduction|methods?|results?|discussion|conclusion|references)\b")
@@ -32,22 +91,24 @@ def extract(blocks: DataFrame, excluded_titles: list[str] | None = None) -> Data
     started = F.max((F.col("is_head") & (F.col("key") == "references")).cast("int")).over(so_far)
     at_start = F.max(F.when(F.col("is_head") & (F.col("key") == "references"), refs)).over(so_far)
     df = df.withColumn("refs", refs).withColumn("in_refs", (started == 1) & (F.col("refs") == at_start) & ~F.col("is_head"))
+    listed = F.filter(F.transform(F.coalesce("items", F.array().cast(NONE)), lambda h: T.clean_text_block(T.html_to_text_metadata(h))), lambda t: t != "")
+    entries = F.when(F.col("block_type") == "ListGroup", listed).when(F.col("block_type").isin("Text", "ListItem") & (F.col("text") != "") & T.is_metadata_reference(F.col("text")), F.array("text")).otherwise(F.array().cast(NONE))
     whole = df.groupBy("doc_id").agg(
         F.first("title").alias("title"),
         F.min_by(F.when(journal_ok, T.clean_text(F.col("text"))), F.when(journal_ok, F.col("pos"))).alias("journal"),
         F.array_sort(F.collect_list(F.when(front, F.struct("pos", "text")))).alias("front"),
         F.array_sort(F.collect_list(F.when(F.col("author_block"), F.struct("pos", "text")))).alias("author_text"),
-        F.array_sort(F.collect_list(F.when(F.col("in_refs") & T.is_metadata_reference(F.col("text")), F.struct("pos", "text")))).alias("refs"),
-        F.min(F.nullif(F.regexp_extract("block_id", r"/((?:19|20)\d{2})_[^/]+", 1), F.lit(""))).alias("id_year"))
+        F.array_sort(F.collect_list(F.when(F.col("in_refs") & (F.size(entries) > 0), F.struct("pos", entries.alias("texts"))))).alias("refs"),
+        F.coalesce(F.first(year_of(F.col("source_path")), True), F.min_by(year_of(F.col("block_id")), F.when((F.col("page_pos") == 0) & year_of(F.col("block_id")).isNotNull(), F.col("pos"))),
+                   F.first(year_of(F.col("document_id")), True)).alias("id_year"))
     front_text = F.array_join(F.transform("front", lambda x: x["text"]), "\n")
 
     def got(pattern: str):
         return F.nullif(F.regexp_extract(front_text, pattern, 1), F.lit(""))
 
-    stripped = F.transform("author_text", lambda x: F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(x["text"], C.AUTHOR_MARKS, " "), r"\s*[,;:/]\s*", ", "), r"\s+", " ")))
-    names = F.flatten(F.transform(stripped, lambda t: F.transform(F.split(t, r"\s+(?:and|&)\s+|,\s*"), F.trim)))
+    names = F.when(F.col("title").isNull(), F.array().cast(NONE)).otherwise(F.flatten(F.transform("author_text", lambda x: author_names(x["text"]))))
     return whole.select("doc_id", "title", "journal", got(C.VOLUME).alias("volume"), got(C.ISSUE).alias("issue"), F.coalesce(got(C.YEAR), "id_year").alias("year"), got(C.DOI).alias("doi"), got(C.ISSN).alias("issn"),
-                        F.array_distinct(F.filter(names, T.is_person)).alias("authors"), F.array_distinct(F.transform("refs", lambda x: x["text"])).alias("references"))
+                        distinct_by_key(names).alias("authors"), distinct_by_key(F.flatten(F.transform("refs", lambda x: x["texts"]))).alias("references"))
 
 
 def missing_fields(metadata: DataFrame) -> DataFrame:

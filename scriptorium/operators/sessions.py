@@ -14,11 +14,14 @@ CLAIM = "array<struct<text:string,status:string,confidence:string>>"
 
 
 def decode_claims(replies: DataFrame, column: str = "reply") -> DataFrame:
-    """Claims of model replies: objects with text; status and confidence default; unreadable replies give none."""
+    """Claims of model replies: objects with text, other items skipped; status and confidence default; unreadable replies give none."""
     from scriptorium.functions.text import parse_reply
 
-    parsed = parse_reply(F.col(column), f"struct<claims_added:{CLAIM}>")["claims_added"]
-    return replies.withColumn("claims", F.transform(F.filter(F.coalesce(parsed, F.array().cast(CLAIM)), lambda c: F.trim(F.coalesce(c["text"], F.lit(""))) != ""), lambda c: F.struct(
+    items = parse_reply(F.col(column), "struct<claims_added:array<string>>")["claims_added"]
+    kind = "struct<text:string,status:string,confidence:string>"
+    loose = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
+    objects = F.transform(F.filter(F.coalesce(items, F.array().cast("array<string>")), lambda i: i.startswith("{")), lambda i: F.from_json(i, kind, loose))
+    return replies.withColumn("claims", F.transform(F.filter(objects, lambda c: F.trim(F.coalesce(c["text"], F.lit(""))) != ""), lambda c: F.struct(
         F.trim(c["text"]).alias("text"), F.coalesce(c["status"], F.lit("supported")).alias("status"), F.coalesce(c["confidence"], F.lit("medium")).alias("confidence"))))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.functions import constants as C
 from scriptorium.functions import text as T
-from scriptorium.operators import fusion, labels, metadata, search, sessions
+from scriptorium.operators import blocks, fusion, labels, metadata, search, sessions
 from scriptorium.plans import reference_queries as R
 from scriptorium.queries import query
 
@@ -87,6 +87,59 @@ def claims_decode(spark, d):
     return rows.select("event_id", F.explode("claims").alias("c")).select("event_id", "c.text", "c.status", "c.confidence")
 
 
+@query("claims_decode_mixed", """SELECT event_id, 'a, ' || event_type || ' None True,]' AS text, 'supported' AS status, 'high' AS confidence FROM events UNION ALL
+SELECT event_id, 'b', 'supported', 'medium' FROM events WHERE event_id % 2 = 0""")
+def claims_decode_mixed(spark, d):
+    """Lists with items that are no objects, and literals inside strings, in JSON (odd ids) and in Python's form."""
+    first = F.concat(F.lit('{"claims_added": [{"text": "a, '), "event_type", F.lit(' None True,]", "confidence": "high"}, "junk", 7, null'))
+    reply = F.when(F.col("event_id") % 2 == 0, F.concat(F.replace(first, F.lit("null"), F.lit("None")), F.lit(", {'text': 'b'},],}"))).otherwise(F.concat(F.lit("So:\n"), first, F.lit("]}")))
+    rows = sessions.decode_claims(R.table(spark, d, "events").select("event_id", reply.alias("reply")))
+    return rows.select("event_id", F.explode("claims").alias("c")).select("event_id", "c.text", "c.status", "c.confidence")
+
+
+@query("reply_fields", """SELECT event_id, 'method' AS label, CASE WHEN event_id % 2 = 0 THEN 'it says "' || event_type || '" twice' ELSE 'open ' || event_type END AS reason FROM events""")
+def reply_fields(spark, d):
+    """Fields of replies that are no JSON: quotes inside a string, and a string that never ends."""
+    reason = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit('it says "'), "event_type", F.lit('" twice"}'))).otherwise(F.concat(F.lit("open "), "event_type", F.lit(" }")))
+    reply = F.concat(F.lit('{"action": "label", "label": "method", "reason": "'), reason)
+    return R.table(spark, d, "events").select("event_id", T.reply_field(reply, "label").alias("label"), T.reply_field(reply, "reason").alias("reason"))
+
+
+AUTHOR_TEXTS = [
+    ("Ann Smith and Bob A. Jones", "Ann Smith|Bob A. Jones"), ("Ann Smith Bob Jones University of Oslo", "Ann Smith Bob Jones"), ("Ann Smith*, Bob Jones†, Department of Ideas", "Ann Smith|Bob Jones"),
+    ("© Copyright Ann Smith", ""), ("University of Oslo", ""), ("ann smith", ""), ("Ann Smith, ANN SMITH, Eve Ray", "Ann Smith|Eve Ray"),
+]
+
+
+@query("front_matter_authors", f"""SELECT p_partkey, CASE p_partkey % {len(AUTHOR_TEXTS)} {' '.join(f"WHEN {i} THEN '{a}'" for i, (_, a) in enumerate(AUTHOR_TEXTS))} END AS authors FROM part""")
+def front_matter_authors(spark, d):
+    """Authors of layout documents of one title, one front-matter text and an abstract."""
+    key = F.col("p_partkey")
+    text = F.element_at(F.array(*[F.lit(t) for t, _ in AUTHOR_TEXTS]), (key % len(AUTHOR_TEXTS) + 1).cast("int"))
+    parts = [("SectionHeader", F.lit("A title of the work")), ("Text", text), ("SectionHeader", F.lit("Abstract")), ("Text", F.lit("Not Anauthor"))]
+    rows = R.table(spark, d, "part").select(key.alias("doc_id"), F.posexplode(F.array(*[F.struct(F.lit(k).alias("block_type"), h.alias("html")) for k, h in parts])).alias("block_pos", "b"))
+    found = metadata.extract(rows.select("doc_id", F.lit(0).alias("page_pos"), "block_pos", F.lit("/page/0/x").alias("block_id"), "b.block_type", "b.html", F.array().cast("array<string>").alias("items")))
+    return found.select(F.col("doc_id").alias("p_partkey"), F.array_join("authors", "|").alias("authors"))
+
+
+@query("markdown_assembly", """SELECT p_partkey, '# Head' || chr(10) || chr(10) || 'It begins' || CASE WHEN p_partkey % 2 = 0 THEN ' and goes on' ELSE chr(10) || chr(10) || 'Then stops' END || chr(10) || chr(10)
+|| '- ' || p_brand || chr(10) || '- two' || chr(10) || chr(10) || 'after the list ' || p_type AS markdown FROM part""")
+def markdown_assembly(spark, d):
+    """Blocks of a heading, two texts, a list and a text, with an author, the title and an affiliation between them."""
+    key = F.col("p_partkey")
+    none = F.array().cast("array<string>")
+
+    def block(kind, html, items=none):
+        return F.struct(F.lit(kind).alias("block_type"), html.alias("html"), items.alias("items"))
+
+    parts = F.array(block("SectionHeader", F.lit("The Title")), block("Text", F.lit("ANN  Smith")), block("Text", F.lit("School of Thought")), block("SectionHeader", F.lit("Abstract")), block("SectionHeader", F.lit("Head")),
+                    block("Text", F.lit("<p>It begins</p>")), block("Text", F.when(key % 2 == 0, "and goes on").otherwise("Then stops")), block("Text", F.lit("Ann Smith")), block("ListGroup", F.lit(""), F.array(F.col("p_brand"), F.lit("two"))), block("Text", F.concat(F.lit("after the list "), "p_type")))
+    rows = R.table(spark, d, "part").select(key.alias("doc_id"), F.posexplode(parts).alias("block_pos", "b")).select("doc_id", F.lit(0).alias("page_pos"), "block_pos", F.concat(F.lit("/page/0/"), F.col("block_pos").cast("string")).alias("block_id"), "b.*")
+    known = R.table(spark, d, "part").select(key.alias("doc_id"), F.lit("the title").alias("title"), F.array(F.lit("Ann Smith")).alias("authors"))
+    marked = blocks.flagged(rows, known).where("reason IS NULL AND text <> 'Abstract'")
+    return blocks.markdown(marked).select(F.col("doc_id").alias("p_partkey"), "markdown")
+
+
 @query("decision_normalize", """SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'method' WHEN 1 THEN 'results' END AS label, CASE WHEN event_id % 3 = 0 THEN 'high' ELSE 'low' END AS confidence,
 CASE WHEN event_id % 2 = 0 THEN 'no reason given' ELSE event_type END AS reason FROM events""")
 def decision_normalize(spark, d):

@@ -246,7 +246,7 @@ def document_blocks(spark, d):
 
 @query("removed_blocks_by_reason")
 def removed_blocks_by_reason(spark, d):
-    return blocks.flagged(document_blocks(spark, d)).groupBy(F.coalesce("reason", F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"))
+    return blocks.audit(blocks.flagged(document_blocks(spark, d))).groupBy("reason").agg(F.count("*").alias("n"))
 
 
 @query("filtered_markdown")
