@@ -107,7 +107,7 @@ def reply_fields(spark, d):
 
 AUTHOR_TEXTS = [
     ("Ann Smith and Bob A. Jones", "Ann Smith|Bob A. Jones"), ("Ann Smith Bob Jones University of Oslo", "Ann Smith Bob Jones"), ("Ann Smith*, Bob Jones†, Department of Ideas", "Ann Smith|Bob Jones"),
-    ("© Copyright Ann Smith", ""), ("University of Oslo", ""), ("ann smith", ""), ("Ann Smith, ANN SMITH, Eve Ray", "Ann Smith|Eve Ray"),
+    ("© Copyright Ann Smith", ""), ("University of Oslo", ""), ("ann smith", ""), ("Ann Smith, Ann Smith, Eve Ray", "Ann Smith|Eve Ray"),
 ]
 
 
