@@ -12,16 +12,18 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import count, repeat
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.common import keep_rows, map_rows, only
+from scriptorium.llm.common import keep_rows, map_rows, only, small_batches
 
 WINDOW = 10
 BROADCAST_BYTES = 32 << 20
+MARK = "__hit_ranges"
 #: Letters and digits in lower case and all bytes of non-ASCII characters stay, all else parts words.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -149,21 +151,51 @@ def without_spans(text: str, at: list[tuple[int, int]]) -> str:
 
 def clean(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", text_col: str = "text", item_col: str = "item_id",
           item_text_col: str = "text", window: int = WINDOW, most: int = BROADCAST_BYTES) -> DataFrame:
-    """docs, all columns, without contaminated rows, or with remove="spans" without the hit spans."""
+    """docs, all columns, without contaminated rows, or with remove="spans" without the hit spans.
+
+    Hits are those in the text as it was given, of all blocks of the benchmark together: spans that overlap are
+    removed as one, once, so the result doesn't depend on `most`. A null or empty text has no hits and stays as it
+    is; null ids and repeated rows are rows like others; an empty benchmark removes nothing; an empty table gives
+    no rows. Names of columns are free.
+    """
     if remove not in ("documents", "spans"):
         raise ValueError("remove is documents or spans")
+    if remove == "documents":
+        for block in blocks(benchmark, item_col, item_text_col, most):
+            sent = docs.sparkSession.sparkContext.broadcast(block)
+
+            def kept(texts, sent=sent):
+                windows = _of(sent, window)
+                return texts, [not windows.hits(t)[1] for t in texts]
+
+            docs = keep_rows(docs, text_col, kept)
+        return docs
+    # Ranges of words found so far travel beside the text until the last block has been looked for.
+    found = next(f"{MARK}{i}" for i in count() if f"{MARK}{i}" not in docs.columns)
+    columns = docs.columns
+    small_batches(docs.sparkSession)
+    marked = docs.withColumn(found, F.array().cast("array<bigint>"))
     for block in blocks(benchmark, item_col, item_text_col, most):
         sent = docs.sparkSession.sparkContext.broadcast(block)
 
-        def work(texts, sent=sent):
-            windows = _of(sent, window)
-            found = [windows.hits(t)[1] for t in texts]
-            if remove == "documents":
-                return texts, [not f for f in found]
-            return [without_spans(t, f) if f else t for t, f in zip(texts, found, strict=True)], [True] * len(texts)
+        def more(batches, sent=sent):
+            for batch in batches:
+                windows = _of(sent, window)
+                texts, ranges = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (text_col, found))
+                own = [r + [x for at in windows.hits(t)[1] for x in at] for t, r in zip(texts, ranges, strict=True)]
+                place = batch.schema.get_field_index(found)
+                yield batch.set_column(place, batch.schema.field(place), pa.array(own, batch.schema.field(place).type))
+
+        marked = marked.mapInArrow(more, marked.schema)
+
+    def cut(batches):
+        for batch in batches:
+            place = batch.schema.get_field_index(text_col)
+            texts, ranges = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (text_col, found))
+            new = [without_spans(t, merged(list(zip(r[::2], r[1::2], strict=True)))) if r else t for t, r in zip(texts, ranges, strict=True)]
+            yield batch.set_column(place, batch.schema.field(place), pa.array(new, batch.schema.field(place).type))
 
-        docs = keep_rows(docs, text_col, work, renew=remove == "spans")
-    return docs
+    return marked.mapInArrow(cut, marked.schema).select(*[F.col(f"`{c}`") for c in columns])
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
