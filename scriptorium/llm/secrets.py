@@ -114,8 +114,7 @@ class Scanner:
         self.order = {kind: i for i, (kind, *_) in enumerate(rules)}
         self.rules = [(kind, re.compile(p, re.ASCII), g, least, trigram_query(p)) for kind, p, g, least in rules]
         self.names = sorted(set().union(*[_trigrams(q) for *_, q in self.rules]))
-        assert len(self.names) < 255, "more trigrams than the lookup table can number"
-        self.slots = np.zeros(1 << 24, np.uint8)
+        self.slots = np.zeros(1 << 24, np.uint8 if len(self.names) < 255 else np.uint32)
         for i, t in enumerate(self.names):
             self.slots[t[0] << 16 | t[1] << 8 | t[2]] = i + 1
 
@@ -209,7 +208,11 @@ def cover(text: str | None, spans: list[tuple[str, int, int]]) -> str | None:
 
 
 def redact(docs: DataFrame, text_col: str = "text", rules=RULES) -> DataFrame:
-    """All rows and columns of docs, secrets in the text replaced by marks; a null text stays null."""
+    """All rows and columns of docs, secrets in the text replaced by marks.
+
+    A null or empty text stays as it is; null ids and repeated rows are rows like others; an empty table gives no
+    rows; names of other columns are free.
+    """
 
     def work(texts):
         return [cover(t, s) for t, s in zip(texts, scanner(rules).find(texts), strict=True)], [True] * len(texts)
