@@ -98,7 +98,7 @@ def near_copies(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "e
     node. An empty table gives no rows; other columns are ignored.
     """
     small_batches(vectors.sparkSession)
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"), F.col(vector_col).alias("v"))
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).alias("v"))
     sound = F.coalesce((F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0), F.lit(False))
     usable = rows.where(sound & F.col("id").isNotNull() & F.col("label").isNotNull())
     lengths = usable.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
@@ -112,7 +112,9 @@ def near_copies(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "e
 
     key = [F.col("label"), F.xxhash64("v").alias("h1"), F.hash("v").alias("h2")]
     members = checkpoint(usable.select("id", *key))
-    classes = usable.select("id", "v", *key).groupBy("label", "h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("n"), F.first("v").alias("v"))
+    # Rows that repeat an id are one node: they count once and don't link to each other.
+    once = usable.select("id", "v", *key).groupBy("label", "h1", "h2", "id").agg(F.first("v").alias("v"))
+    classes = once.groupBy("label", "h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("n"), F.first("v").alias("v"))
     classes = checkpoint(classes)
 
     def keyed(batches):
@@ -128,7 +130,7 @@ def near_copies(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "e
                 yield pa.RecordBatch.from_arrays([label, pa.array(np.full(len(raw), t, np.int32)), pa.array(value), rep, n, pa.array(code.view(np.int64)), pa.array(packed, pa.binary())],
                                                  names=["label", "t", "value", "rep", "n", "code", "v"])
 
-    met = classes.select("label", "rep", "n", "v").mapInArrow(keyed, "label bigint, t int, value bigint, rep bigint, n bigint, code bigint, v binary")
+    met = classes.select("label", "rep", "n", "v").mapInArrow(keyed, "label string, t int, value bigint, rep bigint, n bigint, code bigint, v binary")
     at = ["label", "t", "value"]
     hot = checkpoint(met.groupBy(*at).count().where(F.col("count") > block).select(*at, F.ceil(F.col("count") / block).cast("int").alias("parts")))
     hot = F.broadcast(hot) if hot.count() <= BROADCAST_KEYS else hot
