@@ -4,8 +4,9 @@ Validated values are permuted by key within their format, so equal values get eq
 and no two values share one. Card numbers (13 to 19 digits, Luhn) permute their digits before the check digit,
 which is computed anew; they are looked for among all divisions of a run of digit groups, so that neighbouring
 numbers hide none; phone numbers permute their digits in place; addresses of the internet permute 32 bits;
-dates permute the day within a cycle of 400 years (146,097 days = 189 x 773). Mail addresses keep their domain
-and shift the letters and digits of the name, each within its own alphabet. Values that fail validation stay.
+dates permute the day within a cycle of 400 years (146,097 days = 189 x 773). Mail addresses keep their domain and
+permute the letters and digits of the name, each within its own alphabet. Values that fail validation stay, so do
+phone numbers and dates in other forms than +1 (234) 567-8901 and 2024-02-29, and octets with leading zeros.
 Each round's function is SHA-256 over key, kind, round and the other half. Work is per row, without a shuffle.
 """
 
@@ -97,7 +98,7 @@ def kind_of(value):
     checks = {
         "mail": value.contains("@"),
         "date": value.rlike(r"^\d{4}-\d\d-\d\d$") & F.try_to_date(value, "yyyy-MM-dd").isNotNull(),
-        "ip": value.rlike(r"^\d+\.\d+\.\d+\.\d+$") & F.forall(octets, lambda o: o.cast("int") <= 255),
+        "ip": value.rlike(r"^\d+\.\d+\.\d+\.\d+$") & F.forall(octets, lambda o: o.rlike("^(?:0|[1-9][0-9]*)$") & (o.cast("int") <= 255)),
         "phone": value.startswith("+"),
         "card": value.rlike(r"^\d[\d -]+\d$") & F.char_length(digits).between(13, 19) & (F.pmod(luhn_sum(digits), F.lit(10)) == 0),
     }
@@ -183,22 +184,36 @@ def _renewed(groups, whole, spans, key: str, back: bool):
 
 
 def _mail(value, key: str, back: bool):
-    """Letters and digits of the name shifted within their alphabets, by amounts that the domain and the place
-    and class of every character give; the shape stays, so the shifts can be undone."""
+    """A Feistel network over the characters of the name: in turn each half's letters and digits are shifted within
+    their own alphabets by amounts that the key, the domain, the round and the other half give. Alphabets and other
+    characters stay in their places, so rounds can be undone."""
     name, domain = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
-    shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(name, "[a-z]", "a"), "[A-Z]", "A"), "[0-9]", "0")
+    chars = F.filter(F.split(name, ""), lambda c: c != "")
     sign = -1 if back else 1
 
-    def shifted(c, k):
-        by = F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lit("mail"), shape, domain, k.cast("string")), 256), 1, 12), 16, 10).cast("long")
+    def shifted(own, other, n):
+        seed = F.concat_ws("|", F.lit(key), F.lit("mail"), domain, n.cast("string"), F.array_join(other, ""))
 
-        def turn(base: str, size: int):
-            return F.char(F.pmod(F.ascii(c) - ord(base) + sign * F.pmod(by, F.lit(size)), F.lit(size)) + ord(base))
+        def shift(c, k):
+            by = F.conv(F.substring(F.sha2(F.concat_ws("|", seed, k.cast("string")), 256), 1, 12), 16, 10).cast("long")
 
-        return F.when(c.rlike("[a-z]"), turn("a", 26)).when(c.rlike("[A-Z]"), turn("A", 26)).when(c.rlike("[0-9]"), turn("0", 10)).otherwise(c)
+            def turn(base: str, size: int):
+                return F.char(F.pmod(F.ascii(c) - ord(base) + sign * F.pmod(by, F.lit(size)), F.lit(size)) + ord(base))
 
-    chars = F.filter(F.split(name, ""), lambda c: c != "")
-    return F.concat(F.array_join(F.transform(chars, shifted), ""), F.lit("@"), domain)
+            return F.when(c.rlike("[a-z]"), turn("a", 26)).when(c.rlike("[A-Z]"), turn("A", 26)).when(c.rlike("[0-9]"), turn("0", 10)).otherwise(c)
+
+        return F.transform(own, shift)
+
+    def step(s, n):
+        odd = n % 2 == 1
+        own, other = F.when(odd, s["r"]).otherwise(s["l"]), F.when(odd, s["l"]).otherwise(s["r"])
+        return let(shifted(own, other, n), lambda new: F.struct(F.when(odd, s["l"]).otherwise(new).alias("l"), F.when(odd, new).otherwise(s["r"]).alias("r")))
+
+    half = F.floor((F.size(chars) + 1) / 2).cast("int")
+    start = let(chars, lambda c: F.struct(F.slice(c, 1, half).alias("l"), F.slice(c, half + 1, F.size(c) - half).alias("r")))
+    order = range(ROUNDS - 1, -1, -1) if back else range(ROUNDS)
+    mixed = F.aggregate(F.array(*[F.lit(n) for n in order]), start, step)
+    return let(mixed, lambda m: F.concat(F.array_join(m["l"], ""), F.array_join(m["r"], ""), F.lit("@"), domain))
 
 
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", found: str = "pii", back: bool = False) -> DataFrame:
