@@ -2,11 +2,12 @@
 
 Each turn becomes `### role: text </turn>` and a line end. In roles and texts backslash, #, < (and : in roles)
 are written as a backslash and a letter, so no control string can occur inside one, and unescaping restores
-the text. Prefix sums of turn tokens choose spans aligned to turns: turns that lie wholly within one stretch of
-`budget` tokens form a span, a turn that crosses a border stands alone, so no span exceeds the budget unless
-one turn does. A window shows the conversation's system turn, the last `history` turns before its span where
-they fit the history budget, and the span. The loss mask covers the assistant texts of the span alone, so
-repeated targets are masked.
+the text. A window shows the conversation's system turn, the last `history` turns before its span where they fit
+the history budget, and the span. What the budget leaves beside the system turn and the history budget is the
+room for spans. Prefix sums of turn tokens choose spans aligned to turns: turns that lie wholly within one
+stretch of `room` tokens form a span, a turn that crosses a border stands alone, so no window exceeds the budget
+unless its span is one turn. The loss mask covers the assistant texts of the span alone, so repeated targets
+are masked.
 
 Prefix sums come in two levels, within blocks of BLOCK turns and over the blocks' sums, so that a conversation
 with a large share of all rows is spread over many tasks.
@@ -50,13 +51,15 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
         "conv_id", F.coalesce(F.col("conv_id").cast("string"), F.lit("none")).alias("conv"), F.col("turn").cast("long").alias("turn"),
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("block", F.coalesce(F.floor(F.col("turn") / block), F.lit(-(1 << 60))).cast("long")).withColumn("size", tokens(F.col("text")))
-    sums = rows.groupBy("conv", "block").agg(F.count("*").alias("n"), F.sum("size").alias("s"))
+    sums = rows.groupBy("conv", "block").agg(F.count("*").alias("n"), F.sum("size").alias("s"), F.min(F.when(F.col("role") == "system", F.struct("turn", "text", "size"))).alias("system"))
+    whole = W.partitionBy("conv").orderBy("block").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    room = F.greatest(budget - history_tokens - F.coalesce(F.min("system").over(whole)["size"], F.lit(0)), F.lit(1))
     earlier = W.partitionBy("conv").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    sums = sums.select("conv", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n0"), F.coalesce(F.sum("s").over(earlier), F.lit(0)).alias("s0"))
+    sums = sums.select("conv", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n0"), F.coalesce(F.sum("s").over(earlier), F.lit(0)).alias("s0"), room.alias("room"))
     within = W.partitionBy("conv", "block").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
     placed = rows.withColumn("i", F.row_number().over(within) - 1).withColumn("upto", F.sum("size").over(within.rowsBetween(W.unboundedPreceding, 0)))
     placed = placed.join(sums, ["conv", "block"]).withColumn("place", F.col("i") + F.col("n0")).withColumn("upto", F.col("upto") + F.col("s0"))
-    first, last = F.floor((F.col("upto") - F.col("size")) / budget), F.floor((F.col("upto") - 1) / budget)
+    first, last = F.floor((F.col("upto") - F.col("size")) / F.col("room")), F.floor((F.col("upto") - 1) / F.col("room"))
     turns = placed.select(
         "conv_id", "conv", "place", "role", "size",
         F.when(first == last, first * 2).otherwise(first * 2 + 1).alias("span"),

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from scriptorium.llm import decontaminate, embeddings, pii, secrets
+from scriptorium.llm import chat, decontaminate, embeddings, pii, secrets
 
 
 def test_spans_are_removed_from_the_given_text_whatever_the_block(spark):
@@ -51,3 +51,15 @@ def test_mail_names_are_permuted_and_turn_back(spark):
     assert [back[i] for i in range(len(texts))] == texts
     short = spark.range(26 * 26).select(F.col("id").alias("doc_id"), F.concat(F.char(F.floor(F.col("id") / 26) + 97), F.char(F.col("id") % 26 + 97), F.lit("@a.example")).alias("text"))
     assert pii.pseudonymise(short, "k").select("text").distinct().count() == 26 * 26
+
+
+def test_windows_with_system_turn_and_history_keep_the_budget(spark):
+    rng = random.Random(23)
+    rows = [(c, t, "system" if t == 0 and c % 3 else rng.choice(["user", "assistant"]), "x" * rng.randrange(rng.choice([50, 900, 3000]))) for c in range(9) for t in range(rng.randrange(1, 50))]
+    rows += [(20, t, "system" if t == 0 else "user", "y" * 4400 if t == 0 else "z" * 30) for t in range(5)]
+    out = chat.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    for r in out:
+        pieces = r["formatted"].split(chat.END)[:-1]
+        sizes = [-(-len(p.split(": ", 1)[1]) // 4) + 8 for p in pieces]
+        assert sum(sizes) <= chat.BUDGET or len(pieces) - r["n_repeated"] == 1
+    assert sum(r["n_repeated"] for r in out) > 0 and any(len(r["formatted"].split(chat.END)) - 1 - r["n_repeated"] > 2 for r in out)
