@@ -29,6 +29,8 @@ CACHED_LENGTH = 64
 #: Characters of texts looked up together, and new words given to the library together.
 GROUP = 1_000_000
 JOINED = 1000
+#: The library's setting of whether a batch is encoded by several threads.
+THREADS = "TOKENIZERS_PARALLELISM"
 SPACES = str.maketrans("\t\n\r\x0b\x0c", "     ")
 
 
@@ -53,7 +55,7 @@ class Codec:
     """Encodes and decodes as the tokenizer file's own library does, without adding special tokens."""
 
     def __init__(self, path: str, leaf: int = LEAF):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        os.environ.setdefault(THREADS, "false")
         from tokenizers import Tokenizer
 
         self.path, self.leaf = path, leaf
@@ -67,7 +69,7 @@ class Codec:
         self.cut = plain[0].content if plain else None
         self.words: dict[str, tuple[bytes, str]] = {}
         self.older: dict[str, tuple[bytes, str]] = {}
-        self._inner = self._last = None
+        self._inner = self._last = self._batch = None
 
     # Parts of a long word: those that don't reach its end have no end mark.
 
@@ -86,6 +88,20 @@ class Codec:
     def _part(self, symbols: str, last: bool) -> list[str]:
         return [t.value for t in self._models()[last].tokenize(symbols)]
 
+    def _leaves(self, leaves: list[str]) -> list[list[str]]:
+        """Tokens of leaves that don't reach the word's end, encoded in parallel by the library's threads."""
+        from tokenizers import Tokenizer
+
+        if self._batch is None:
+            self._batch = Tokenizer(self._models()[0])
+        before = os.environ.get(THREADS)
+        os.environ[THREADS] = "true"
+        try:
+            parts = [leaves[at : at + JOINED] for at in range(0, len(leaves), JOINED)]
+            return [[self.tokens[i] for i in e.ids] for part in parts for e in self._batch.encode_batch_fast(part, add_special_tokens=False)]
+        finally:
+            os.environ[THREADS] = before or "false"
+
     def _bare(self, tokens: list[str], last: bool) -> str:
         joined = "".join(tokens)
         return joined.removesuffix(self.suffix) if last and self.suffix else joined
@@ -106,7 +122,7 @@ class Codec:
         """Tokens of an unsplit word of any length."""
         self._models()
         leaves = [symbols[i : i + self.leaf] for i in range(0, len(symbols), self.leaf)]
-        level = [(self._part(s, last and i == len(leaves) - 1)) for i, s in enumerate(leaves)]
+        level = [*self._leaves(leaves[:-1]), self._part(leaves[-1], last)]
         while len(level) > 1:
             n = len(level)
             level = [
@@ -233,24 +249,30 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name
     return map_rows(only(docs, doc_id=id_col, text=text_col), f"doc_id {kind}, ids binary, decoded string", work)
 
 
-def with_ids(docs: DataFrame, text_col: str = "text", name: str = "word_bpe_49k.json", out: str = "token_ids") -> DataFrame:
+def with_ids(docs: DataFrame, text_col: str = "text", name: str = "word_bpe_49k.json", out: str = "token_ids",
+             decoded: str | None = None) -> DataFrame:
     """All rows and columns of docs and the text's ids, as little-endian binary, in a column `out`.
 
-    A column of that name is replaced.
+    With `decoded`, a column of that name holds the text decoded from those ids. Columns of these names are
+    replaced. A null or empty text has no ids and an empty decoded text; null and repeated ids and repeated rows
+    keep their rows; an empty table gives no rows.
     """
     import pyarrow as pa
 
     small_batches(docs.sparkSession)
-    docs = docs.drop(out)
+    text = F.col(f"`{text_col}`").alias("__text")
+    kept = [f for f in docs.schema.fields if f.name not in (out, decoded)]
+    docs = docs.select(*[F.col(f"`{f.name}`") for f in kept], text)
+    added = [T.StructField(out, T.BinaryType())] + ([T.StructField(decoded, T.StringType())] if decoded else [])
 
     def run(batches):
         own = codec(name)
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-            ids = [i for i, _ in own.encode_all(texts, decoded=False)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], names=[*batch.schema.names, out])
+            pairs = list(own.encode_all(batch.column(batch.num_columns - 1).to_pylist(), decoded=decoded is not None))
+            new = [pa.array([i for i, _ in pairs], pa.binary())] + ([pa.array([d for _, d in pairs], pa.string())] if decoded else [])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *new], names=[*batch.schema.names[:-1], *[f.name for f in added]])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, T.BinaryType())]))
+    return docs.mapInArrow(run, T.StructType([*kept, *added]))
 
 
 def digest(docs: DataFrame) -> DataFrame:
