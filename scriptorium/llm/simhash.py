@@ -104,6 +104,11 @@ def keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rows, found[rows, cols]
 
 
+def differing(a, b) -> np.ndarray:
+    """Number of differing bits; unsigned, as numpy counts the bits of a signed number's absolute value."""
+    return np.bitwise_count(np.asarray(a ^ b).view(np.uint64))
+
+
 def links(prints: np.ndarray, most: int = LINK_BITS) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the links among distinct fingerprints, breadth first."""
     left, a, b = prints, [], []
@@ -111,7 +116,7 @@ def links(prints: np.ndarray, most: int = LINK_BITS) -> tuple[np.ndarray, np.nda
         queue, left = [left[0]], left[1:]
         while queue and len(left):
             p = queue.pop()
-            near = np.bitwise_count(left ^ p) <= most
+            near = differing(left, p) <= most
             found = left[near]
             if len(found):
                 a.append(np.full(len(found), p))
@@ -131,7 +136,7 @@ def run_links(key: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarr
     usual = np.repeat(~long, lengths)
     for step in range(1, min(SHORT_RUN, int(lengths.max(initial=0)))):
         at = np.flatnonzero((key[step:] == key[:-step]) & usual[step:])
-        close = np.bitwise_count(prints[at] ^ prints[at + step]) <= LINK_BITS
+        close = differing(prints[at], prints[at + step]) <= LINK_BITS
         a.append(prints[at[close]])
         b.append(prints[at[close] + step])
     for i in np.flatnonzero(long):

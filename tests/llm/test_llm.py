@@ -197,7 +197,7 @@ def test_simhash_equals_brute_force(spark):
     prints = np.array([simhash.fingerprint(t) for t in texts])
     label = list(range(len(texts)))
     for _ in range(len(texts)):
-        new = [min(label[j] for j in np.flatnonzero(np.bitwise_count(prints ^ prints[i]) <= 4)) for i in range(len(texts))]
+        new = [min(label[j] for j in np.flatnonzero(np.bitwise_count((prints ^ prints[i]).view(np.uint64)) <= 4)) for i in range(len(texts))]
         if new == label:
             break
         label = new

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from scriptorium.llm import chat, decontaminate, embeddings, pii, secrets
+from scriptorium.llm import bpe, chat, decontaminate, embeddings, pii, secrets, simhash
 
 
 def test_spans_are_removed_from_the_given_text_whatever_the_block(spark):
@@ -63,3 +63,59 @@ def test_windows_with_system_turn_and_history_keep_the_budget(spark):
         sizes = [-(-len(p.split(": ", 1)[1]) // 4) + 8 for p in pieces]
         assert sum(sizes) <= chat.BUDGET or len(pieces) - r["n_repeated"] == 1
     assert sum(r["n_repeated"] for r in out) > 0 and any(len(r["formatted"].split(chat.END)) - 1 - r["n_repeated"] > 2 for r in out)
+
+
+def test_leaves_in_parallel_give_the_whole_word():
+    rng = random.Random(24)
+    own = bpe.Codec(bpe.tokenizer_path(), leaf=64)
+    for n in (64, 65, 1000, 5000):
+        for letters in ("abcdefgh", "a", "abe\u00e9\u4e2d7-"):
+            word = "".join(rng.choices(letters, k=n))
+            for last in (False, True):
+                assert own.tree(word, last) == own._part(word, last)
+
+
+def test_decoded_texts_are_those_of_the_ids(spark):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(bpe.tokenizer_path())
+    texts = ["One text, two.", None, "", "y" * 9000, "a\u00e9 b", "One text, two."]
+    docs = spark.createDataFrame([(i, t, "old", "x") for i, t in enumerate(texts)], "doc_id long, text string, token_ids string, decoded string")
+    out = bpe.with_ids(docs, decoded="decoded")
+    assert out.columns == ["doc_id", "text", "token_ids", "decoded"]
+    for r in out.collect():
+        ids = library.encode(r["text"] or "", add_special_tokens=False).ids
+        assert [int.from_bytes(r["token_ids"][i : i + 4], "little") for i in range(0, len(r["token_ids"]), 4)] == ids
+        assert r["decoded"] == library.decode(ids, skip_special_tokens=False)
+    assert bpe.with_ids(docs).columns == ["doc_id", "text", "decoded", "token_ids"]
+    texts_replaced = {r["text"].hex() for r in bpe.with_ids(docs, out="text").collect()}
+    assert len(texts_replaced) == 4
+
+
+def test_components_are_the_same_whichever_travel(spark, monkeypatch):
+    rng = random.Random(25)
+    words = [f"w{i}" for i in range(300)]
+    base = [rng.choices(words, k=400) for _ in range(4)]
+    rows = [(100 - 3 * i + k, " ".join(["new"] * (i % 2) + base[k][i // 4 :])) for k in range(3) for i in range(20)] + [(500, None), (None, "alone here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = []
+    for most in (1, 3, 1000):
+        monkeypatch.setattr(simhash, "MOST_HOT", most)
+        found.append(sorted(map(tuple, simhash.digest(docs).collect()), key=str))
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(rows)
+    prints = [(r["doc_id"], int(f, 16)) for r, f in [(r, r["fingerprint"]) for r in simhash.digest(docs).collect()]]
+    least = dict.fromkeys(range(len(prints)))
+    for i in range(len(prints)):
+        if least[i] is None:
+            queue, seen = [i], {i}
+            while queue:
+                at = queue.pop()
+                for j, (_, p) in enumerate(prints):
+                    if j not in seen and (p ^ prints[at][1]).bit_count() <= 4:
+                        seen.add(j)
+                        queue.append(j)
+            smallest = min((prints[j][0] for j in seen if prints[j][0] is not None), default=None)
+            for j in seen:
+                least[j] = (smallest,)
+    want = sorted([(d, least[i][0]) for i, (d, _) in enumerate(prints)], key=str)
+    assert sorted([(d, c) for d, _, c in found[0]], key=str) == want
