@@ -28,6 +28,8 @@ SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: Generator polynomial of the cyclic Golay code (fixed value).
 GOLAY = 0b101011100011
 SHORT_RUN = 16
+#: Components that hold more than one in so many of the distinct fingerprints travel to every task.
+MOST_HOT = 1000
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -208,8 +210,16 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     groups = checkpoint(own.groupBy("print").agg(F.min("doc_id").alias("least")))
     found = least_label(print_links(groups))
     rooted = groups.join(found, groups["print"] == found["node"], "left").select("print", "least", F.coalesce("component", "print").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return own.join(rooted.join(smallest, "root").select("print", "component_id"), "print").select("doc_id", "print", "component_id")
+    rooted = checkpoint(rooted)
+    smallest = checkpoint(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n")))
+    # A component of over 1 / MOST_HOT of the fingerprints would gather rows in one task: there are fewer than
+    # MOST_HOT of them, so they travel; the others meet by their root.
+    total = smallest.agg(F.sum("n")).first()[0] or 0
+    hot = smallest["n"] > max(1, total // MOST_HOT)
+    travelling = F.broadcast(smallest.where(hot).select("root", "component_id"))
+    large = rooted.join(travelling, "root").select("print", "component_id")
+    small = rooted.join(travelling, "root", "left_anti").join(smallest.where(~hot).select("root", "component_id"), "root").select("print", "component_id")
+    return own.join(large.union(small), "print").select("doc_id", "print", "component_id")
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
