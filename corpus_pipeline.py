@@ -1,4 +1,5 @@
-"""Corpus pipeline: toxicity, SimHash near-dedup, benchmark decontamination, secret scans, BPE encoding.
+"""Corpus pipeline: toxicity, SimHash near-dedup, benchmark decontamination, secret scans, BPE encoding and
+decoding.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which run() writes as Parquet in the shared
 folder and reads again as the next stage's docs. All stages but the last return the columns of documents.
@@ -38,9 +39,10 @@ def cover_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their token ids and the number of tokens."""
-    encoded = bpe.with_ids(docs, out="token_ids")
-    return encoded.withColumn("n_tokens", (F.octet_length("token_ids") / 4).cast("long"))
+    """All documents with their token ids, the number of tokens, and the digest of the text decoded from them."""
+    encoded = bpe.with_ids(docs, out="token_ids", decoded="decoded")
+    encoded = encoded.withColumn("n_tokens", (F.octet_length("token_ids") / 4).cast("long"))
+    return encoded.withColumn("decoded_sha256", F.sha2(F.col("decoded").cast("binary"), 256)).drop("decoded")
 
 
 STAGES = [
@@ -48,7 +50,7 @@ STAGES = [
     ("simhash near-dedup", drop_near_copies),
     ("benchmark decontamination", drop_contaminated),
     ("secret scans", cover_secrets),
-    ("bpe encoding", encode),
+    ("bpe encoding and decoding", encode),
 ]
 #: Segment scores, fingerprint components and token ids can't be put in SQL; tests compare with brute force.
 ORACLE_SQL = None
