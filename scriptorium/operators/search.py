@@ -69,13 +69,14 @@ def ranked(rows: DataFrame, *order) -> DataFrame:
     return rows.withColumn("rank", F.row_number().over(W.orderBy(*order)))
 
 
-def hybrid_topk(chunks: DataFrame, query: str, vector: list[float], k: int) -> DataFrame:
+def hybrid_topk(chunks: DataFrame, query: str, vector: list[float], k: int, index=None) -> DataFrame:
     """Rows (chunk_id, relevance_score, distance, fts_score): reciprocal ranks of both lists summed.
 
-    Ties go to rows of the vector list, then to the better rank, then to the lesser id.
+    Ties go to rows of the vector list, then to the better rank, then to the lesser id. With a stored index over
+    the same chunks, the full-text list comes from it.
     """
     near = ranked(vector_topk(chunks, vector, k), "distance", "chunk_id").select("chunk_id", F.lit(0).alias("list"), "rank", "distance", F.lit(None).cast("double").alias("fts_score"))
-    text = ranked(fts_topk(chunks, query, k), F.desc("fts_score"), "chunk_id").select("chunk_id", F.lit(1).alias("list"), "rank", F.lit(None).cast("double").alias("distance"), "fts_score")
+    text = ranked(index.topk(query, k) if index else fts_topk(chunks, query, k), F.desc("fts_score"), "chunk_id").select("chunk_id", F.lit(1).alias("list"), "rank", F.lit(None).cast("double").alias("distance"), "fts_score")
     fused = near.unionByName(text).groupBy("chunk_id").agg(
         F.round(F.sum(1.0 / (RRF_K + F.col("rank"))), 12).alias("relevance_score"), F.max("distance").alias("distance"), F.max("fts_score").alias("fts_score"),
         F.min("list").alias("list"), F.min("rank").alias("rank"))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from scriptorium.functions import constants as C
 from scriptorium.functions import text as T
 from scriptorium.functions import vectors as V
-from scriptorium.operators import blocks, chunking, filters, fusion, labels, metadata, models, retrieval, search, sessions
+from scriptorium.operators import blocks, chunking, filters, fulltext, fusion, labels, metadata, models, retrieval, search, sessions
 from scriptorium.queries import query
 
 QUESTION = "license version public general work"
@@ -100,6 +102,14 @@ def fts_bm25_topk(spark, d):
     return search.fts_topk(chunks, QUESTION, 20).select("chunk_id", F.round("fts_score", 6).alias("fts_score"))
 
 
+@query("fts_index_topk", f"""WITH c AS (SELECT doc_id::VARCHAR AS chunk_id, text FROM documents), {bm25_sql('c', TERMS)}
+SELECT chunk_id, round(fts_score, 6) AS fts_score FROM fts ORDER BY fts.fts_score DESC, chunk_id LIMIT 20""")
+def fts_index_topk(spark, d):
+    chunks = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("chunk_id"), "text")
+    index = fulltext.FullTextIndex(spark, f"{fulltext.shared_folder(spark)}/fulltext-{uuid.uuid4().hex}").refresh(chunks)
+    return index.topk(QUESTION, 20).select("chunk_id", F.round("fts_score", 6).alias("fts_score"))
+
+
 @query("fts_postings", """SELECT term, count(DISTINCT doc_id) AS df, count(*) AS cf FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS term FROM documents) GROUP BY term""")
 def fts_postings(spark, d):
     chunks = table(spark, d, "documents").select(F.col("doc_id").alias("chunk_id"), "text")
