@@ -51,7 +51,8 @@ def html_to_text(html: Column, blocks: str = "p|div|h[1-6]|li|tr") -> Column:
     """Line breaks for br and for the ends of block elements, blanks for other tags, entities as characters."""
     text = F.regexp_replace(html, r"(?i)<br\s*/?>", "\n")
     text = F.regexp_replace(text, rf"(?i)</(?:{blocks})\s*>", "\n")
-    return unescape_entities(F.regexp_replace(text, r"<[^>]+>", " "))
+    text = F.when(html.contains("<"), F.regexp_replace(text, r"<[^>]+>", " ")).otherwise(html)
+    return F.when(html.contains("&"), unescape_entities(text)).otherwise(text)
 
 
 def html_to_text_metadata(html: Column) -> Column:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from scriptorium.functions import constants as C
 from scriptorium.functions import text as T
@@ -12,12 +11,17 @@ from scriptorium.functions.vectors import let
 
 
 NONE = "array<string>"
+#: Two capitalised words side by side, which every name has that is_person accepts.
+NEIGHBOURS = r"[A-Z][A-Za-z'`\-]+[ ,;]+[A-Z]"
 
 
 def distinct_by_key(texts):
     """The first of texts that are equal but for case and white space, in order."""
-    keys = F.transform(texts, T.normalize_title)
-    return F.filter(texts, lambda x, i: F.array_position(keys, F.element_at(keys, i + 1)) == i + 1)
+    def first(own):
+        keyed = F.transform(own, lambda x: F.struct(T.normalize_title(x).alias("key"), x.alias("text")))
+        return let(keyed, lambda k: let(k["key"], lambda keys: F.transform(F.filter(k, lambda x, i: F.array_position(keys, x["key"]) == i + 1), lambda x: x["text"])))
+
+    return let(texts, first)
 
 
 def in_turn(text):
@@ -55,7 +59,8 @@ def author_names(text):
                 .when(F.size(inside) > 0, inside).otherwise(in_turn(x)))
 
     front = F.lower(text).rlike("issn|doi|copyright")
-    return F.when(front, F.array().cast(NONE)).otherwise(let(F.btrim(marked, F.lit(" ,")), named))
+    some = lambda x: F.when(x.rlike(NEIGHBOURS), named(x)).otherwise(F.array().cast(NONE))
+    return F.when(front, F.array().cast(NONE)).otherwise(let(F.btrim(marked, F.lit(" ,")), some))
 
 
 def year_of(identifier):
@@ -75,40 +80,46 @@ def extract(blocks: DataFrame, excluded_titles: list[str] | None = None) -> Data
     blank = F.lit(None).cast("string")
     for name in ("source_path", "document_id"):
         blocks = blocks if name in blocks.columns else blocks.withColumn(name, blank)
-    order = W.partitionBy("doc_id").orderBy("page_pos", "block_pos")
-    so_far = order.rowsBetween(W.unboundedPreceding, 0)
+    head, on_front = F.coalesce(F.col("block_type") == "SectionHeader", F.lit(False)), F.col("page_pos") < 2
     df = blocks.withColumn("text", T.clean_text_block(T.html_to_text_metadata(F.coalesce("html", F.lit("")))))
-    df = df.withColumn("is_head", F.col("block_type") == "SectionHeader").withColumn("key", T.normalize_title(F.col("text")))
-    df = df.withColumn("abstract", F.max((F.col("is_head") & (F.col("key") == "abstract")).cast("int")).over(so_far)).withColumn("pos", F.row_number().over(order))
-    front = (F.col("abstract") == 0) & (F.col("page_pos") < 2)
-    titled = df.where(front & F.col("is_head") & (F.col("page_pos") == 0) & (F.col("text") != "") & ~F.col("key").isin("", *excluded_titles))
-    titles = titled.groupBy("doc_id").agg(F.max_by(T.clean_text(F.col("text")), F.struct(T.word_count(F.col("text")), -F.col("pos"))).alias("title"))
-    df = df.join(titles, "doc_id", "left")
-    journal_ok = F.col("is_head") & (F.col("page_pos") == 0) & (F.col("key") != "") & ~F.coalesce(F.col("key") == T.normalize_title(F.col("title")), F.lit(False)) & ~F.col("key").isin(C.FRONT_MATTER_HEADINGS) & ~F.col("text").rlike(C.NUMBERED_HEADING) & ~F.col("key").rlike(r"\b(?:introduction|methods?|results?|discussion|conclusion|references)\b")
-    title_seen = F.max((F.col("is_head") & (F.col("key") == T.normalize_title(F.col("title")))).cast("int")).over(so_far) == 1
-    df = df.withColumn("author_block", title_seen & front & (F.col("page_pos") == 0) & ~F.col("is_head"))
-    refs = F.sum(F.when(F.col("is_head"), F.when(F.col("key") == "references", 0).otherwise(1))).over(order.rowsBetween(W.unboundedPreceding, 0))
-    started = F.max((F.col("is_head") & (F.col("key") == "references")).cast("int")).over(so_far)
-    at_start = F.max(F.when(F.col("is_head") & (F.col("key") == "references"), refs)).over(so_far)
-    df = df.withColumn("refs", refs).withColumn("in_refs", (started == 1) & (F.col("refs") == at_start) & ~F.col("is_head"))
     listed = F.filter(F.transform(F.coalesce("items", F.array().cast(NONE)), lambda h: T.clean_text_block(T.html_to_text_metadata(h))), lambda t: t != "")
-    entries = F.when(F.col("block_type") == "ListGroup", listed).when(F.col("block_type").isin("Text", "ListItem") & (F.col("text") != "") & T.is_metadata_reference(F.col("text")), F.array("text")).otherwise(F.array().cast(NONE))
+    entries = F.when(head, F.array().cast(NONE)).when(F.col("block_type") == "ListGroup", listed).when(F.col("block_type").isin("Text", "ListItem") & (F.col("text") != "") & T.is_metadata_reference(F.col("text")), F.array("text")).otherwise(F.array().cast(NONE))
+    df = df.withColumn("is_head", head).withColumn("texts", entries).withColumn("key", F.when(head, T.normalize_title(F.col("text"))))
+    # One row for each document, and in it its blocks once, in order; later pages give headings and entries only.
+    row = F.struct("page_pos", "block_pos", "is_head", F.when(F.col("is_head") | on_front, F.col("text")).alias("text"), "key", "texts", F.when(F.col("page_pos") == 0, year_of(F.col("block_id"))).alias("year"))
     whole = df.groupBy("doc_id").agg(
-        F.first("title").alias("title"),
-        F.min_by(F.when(journal_ok, T.clean_text(F.col("text"))), F.when(journal_ok, F.col("pos"))).alias("journal"),
-        F.array_sort(F.collect_list(F.when(front, F.struct("pos", "text")))).alias("front"),
-        F.array_sort(F.collect_list(F.when(F.col("author_block"), F.struct("pos", "text")))).alias("author_text"),
-        F.array_sort(F.collect_list(F.when(F.col("in_refs") & (F.size(entries) > 0), F.struct("pos", entries.alias("texts"))))).alias("refs"),
-        F.coalesce(F.first(year_of(F.col("source_path")), True), F.min_by(year_of(F.col("block_id")), F.when((F.col("page_pos") == 0) & year_of(F.col("block_id")).isNotNull(), F.col("pos"))),
-                   F.first(year_of(F.col("document_id")), True)).alias("id_year"))
-    front_text = F.array_join(F.transform("front", lambda x: x["text"]), "\n")
+        F.array_sort(F.collect_list(F.when(F.col("is_head") | on_front | (F.size("texts") > 0), row))).alias("b"),
+        F.first(year_of(F.col("source_path")), True).alias("path_year"), F.first(year_of(F.col("document_id")), True).alias("own_year"))
+    whole = whole.withColumn("heads", F.filter(F.transform("b", lambda x, i: F.struct(i.alias("i"), x["is_head"].alias("is_head"), x["page_pos"].alias("page_pos"), x["key"].alias("key"), x["text"].alias("text"))), lambda h: h["is_head"]))
+    whole = whole.withColumn("abstract", F.coalesce(_first_at("heads", lambda h: h["key"] == "abstract"), F.size("b")))
+    titled = F.filter("heads", lambda h: (h["i"] < F.col("abstract")) & (h["page_pos"] == 0) & (h["text"] != "") & ~h["key"].isin("", *excluded_titles))
+    whole = whole.withColumn("title", F.array_max(F.transform(titled, lambda h: F.struct(T.word_count(h["text"]).alias("n"), (-h["i"]).alias("at"), T.clean_text(h["text"]).alias("title"))))["title"])
+    whole = whole.withColumn("title_key", T.normalize_title(F.col("title")))
+    whole = whole.withColumn("title_at", _first_at("heads", lambda h: h["key"] == F.col("title_key")))
+    named = F.filter("heads", lambda h: (h["page_pos"] == 0) & (h["key"] != "") & ~F.coalesce(h["key"] == F.col("title_key"), F.lit(False)) & ~h["key"].isin(C.FRONT_MATTER_HEADINGS) & ~h["text"].rlike(C.NUMBERED_HEADING) & ~h["key"].rlike(r"\b(?:introduction|methods?|results?|discussion|conclusion|references)\b"))
+    front = F.filter("b", lambda x, i: (x["page_pos"] < 2) & (i < F.col("abstract")))
+    by_line = F.filter("b", lambda x, i: ~x["is_head"] & (x["page_pos"] == 0) & (i < F.col("abstract")) & (i > F.col("title_at")))
+    # From a heading References to the next heading.
+    until = F.concat(F.slice(F.transform("heads", lambda h: h["i"]), F.lit(2), F.greatest(F.size("heads"), F.lit(0))), F.array(F.size("b")))
+    parts = F.filter(F.zip_with("heads", until, lambda h, e: F.struct(h["key"].alias("key"), h["i"].alias("start"), e.alias("end"))), lambda r: r["key"] == "references")
+    given = F.filter(F.transform("b", lambda x, i: F.struct(i.alias("i"), x["texts"].alias("texts"))), lambda x: F.size(x["texts"]) > 0)
+    whole = whole.withColumn("parts", parts).withColumn("given", F.when(F.size("parts") > 0, given))
+    listed = F.transform(F.filter("given", lambda x: F.exists("parts", lambda r: (x["i"] > r["start"]) & (x["i"] < r["end"]))), lambda x: x["texts"])
+    block_year = F.try_element_at(F.filter(F.transform("b", lambda x: x["year"]), lambda y: y.isNotNull()), F.lit(1))
+    whole = whole.select("doc_id", "title", T.clean_text(F.try_element_at(named, F.lit(1))["text"]).alias("journal"), F.array_join(F.transform(front, lambda x: x["text"]), "\n").alias("front"),
+                         F.transform(by_line, lambda x: x["text"]).alias("author_text"), F.coalesce(F.flatten(listed), F.array().cast(NONE)).alias("refs"), F.coalesce("path_year", block_year, "own_year").alias("id_year"))
 
     def got(pattern: str):
-        return F.nullif(F.regexp_extract(front_text, pattern, 1), F.lit(""))
+        return F.nullif(F.regexp_extract("front", pattern, 1), F.lit(""))
 
-    names = F.when(F.col("title").isNull(), F.array().cast(NONE)).otherwise(F.flatten(F.transform("author_text", lambda x: author_names(x["text"]))))
+    names = F.when(F.col("title").isNull(), F.array().cast(NONE)).otherwise(F.flatten(F.transform("author_text", author_names)))
     return whole.select("doc_id", "title", "journal", got(C.VOLUME).alias("volume"), got(C.ISSUE).alias("issue"), F.coalesce(got(C.YEAR), "id_year").alias("year"), got(C.DOI).alias("doi"), got(C.ISSN).alias("issn"),
-                        distinct_by_key(names).alias("authors"), distinct_by_key(F.flatten(F.transform("refs", lambda x: x["texts"]))).alias("references"))
+                        distinct_by_key(names).alias("authors"), distinct_by_key(F.col("refs")).alias("references"))
+
+
+def _first_at(heads: str, wanted):
+    """The place of the first heading that is wanted, null if none is."""
+    return F.array_min(F.transform(F.filter(heads, wanted), lambda h: h["i"]))
 
 
 def missing_fields(metadata: DataFrame) -> DataFrame:
