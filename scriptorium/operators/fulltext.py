@@ -11,11 +11,12 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptorium.operators.search import B, K1, query_terms, tokens
+from scriptorium.operators.search import B, K1, best_first, query_terms, tokens
 
 BUCKETS = 64
 
@@ -83,8 +84,10 @@ class FullTextIndex:
         idf = F.log(1 + (F.lit(stats["n"]) - df + 0.5) / (df + 0.5))
         weights = F.broadcast(wanted("terms").select("term", idf.alias("idf")))  # one row for each query term at most
         gain = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.lit(stats["avgdl"])))
-        return wanted("postings").join(weights, "term").groupBy("chunk_id").agg(F.sum(gain).alias("fts_score"))
+        # One sum for each term, added in the order of the query as the scan does, so that no score hangs on the order of rows.
+        gains = wanted("postings").join(weights, "term").groupBy("chunk_id").agg(*[F.sum(F.when(F.col("term") == t, gain)).alias(f"g{i}") for i, t in enumerate(terms)])
+        return gains.select("chunk_id", reduce(lambda a, i: a + F.coalesce(f"g{i}", F.lit(0.0)), range(len(terms)), F.lit(0.0)).alias("fts_score"))
 
     def topk(self, query: str, k: int) -> DataFrame:
         """Rows (chunk_id, fts_score) of the k best, ties by id."""
-        return self.bm25(query).orderBy(F.desc("fts_score"), "chunk_id").limit(k)
+        return self.bm25(query).orderBy(best_first(), "chunk_id").limit(k)
