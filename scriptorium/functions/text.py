@@ -13,6 +13,7 @@ from scriptorium.functions import constants as C
 
 
 ENTITY = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)"
+CLOSED = ENTITY.replace(";?", ";")
 #: Names that count without a semicolon too, longest first.
 BARE = sorted((n for n in html.entities.html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
 REPLACED = {n: html.unescape(f"&#{n};") for n in range(0x80, 0xA0)}
@@ -28,35 +29,42 @@ def _numbered(entity: Column) -> Column:
     return F.when(none, "\ufffd").when(old.isNotNull(), old).when(gone, "").otherwise(F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
 
 
-def _named(entity: Column) -> Column:
-    """The characters of a named entity; a name without semicolon by its longest known beginning; else as it is."""
+def _named(entity: Column, bare: bool = True) -> Column:
+    """The characters of a named entity; if bare, a name without semicolon by its longest known beginning; else as it is."""
     table = F.from_json(F.lit(json.dumps(html.entities.html5)), "map<string,string>")
     whole = F.try_element_at(table, F.substr(entity, F.lit(2)))
+    if not bare:
+        return F.coalesce(whole, entity)
     start = F.regexp_extract(entity, f"^&({'|'.join(BARE)})", 1)
     return F.coalesce(whole, F.when(start != "", F.concat(F.try_element_at(table, start), F.substr(entity, F.char_length(start) + 2))), entity)
 
 
-def unescape_entities(text: Column) -> Column:
-    """Named and numeric entities to characters, each once."""
+def unescape_entities(text: Column, bare: bool = True) -> Column:
+    """Named and numeric entities to characters, each once; unless bare, only those that a semicolon ends."""
+    pattern = ENTITY if bare else CLOSED
+
     def character(e):
         common = reduce(lambda c, x: c.when(e == x[0], x[1]), C.ENTITIES.items(), F.when(e == "&amp;", "&"))
-        return common.when(e.startswith("&#"), _numbered(e)).otherwise(_named(e))
+        return common.when(e.startswith("&#"), _numbered(e)).otherwise(_named(e, bare))
+
+    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), character)
+    whole = F.array_join(F.zip_with(F.split(text, pattern, -1), found, lambda t, e: F.concat(t, F.coalesce(e, F.lit("")))), "")
+    return F.when(text.rlike(pattern), whole).otherwise(text)
 
-    found = F.transform(F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)), character)
-    whole = F.array_join(F.zip_with(F.split(text, ENTITY, -1), found, lambda t, e: F.concat(t, F.coalesce(e, F.lit("")))), "")
-    return F.when(text.rlike(ENTITY), whole).otherwise(text)
 
+def html_to_text(html: Column, blocks: str = "p|div|h[1-6]|li|tr", bare: bool = True) -> Column:
+    """Line breaks for br and for the ends of block elements, blanks for other tags, entities as characters.
 
-def html_to_text(html: Column, blocks: str = "p|div|h[1-6]|li|tr") -> Column:
-    """Line breaks for br and for the ends of block elements, blanks for other tags, entities as characters."""
+    Entities are read as HTML does, without a semicolon too; unless bare, these stay as they are.
+    """
     text = F.regexp_replace(html, r"(?i)<br\s*/?>", "\n")
     text = F.regexp_replace(text, rf"(?i)</(?:{blocks})\s*>", "\n")
     text = F.when(html.contains("<"), F.regexp_replace(text, r"<[^>]+>", " ")).otherwise(html)
-    return F.when(html.contains("&"), unescape_entities(text)).otherwise(text)
+    return F.when(html.contains("&"), unescape_entities(text, bare)).otherwise(text)
 
 
-def html_to_text_metadata(html: Column) -> Column:
-    return html_to_text(html, "p|div|h[1-6]|li|tr|blockquote|ul|ol")
+def html_to_text_metadata(html: Column, bare: bool = True) -> Column:
+    return html_to_text(html, "p|div|h[1-6]|li|tr|blockquote|ul|ol", bare)
 
 
 def clean_text(text: Column) -> Column:
