@@ -38,7 +38,7 @@ class FullTextIndex:
         """Index all of chunks anew. A null text has no terms but counts as a chunk; an empty table gives an empty index."""
         build = f"{self.path}/{self._newest() + 1:09d}-{uuid.uuid4().hex}"
         bucket = F.pmod(F.crc32(F.col("term")), F.lit(self.buckets)).cast("int").alias("bucket")
-        sized = chunks.select("chunk_id", tokens(F.col("text")).alias("t")).select("chunk_id", "t", F.size("t").alias("dl"))
+        sized = chunks.select("chunk_id", tokens(F.col("text")).alias("t")).select("chunk_id", "t", F.array_size("t").alias("dl"))
         found = sized.select("chunk_id", "dl", F.explode("t").alias("term")).groupBy("term", "chunk_id").agg(F.count("*").alias("tf"), F.first("dl").alias("dl"))
         order = ("bucket", "term", "chunk_id")
         found.select("*", bucket).repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("bucket").parquet(f"{build}/postings")
